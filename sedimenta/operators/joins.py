@@ -42,7 +42,7 @@ def fits_broadcast(df: DataFrame) -> bool:
     """Whether the optimizer's size estimate lies under the session's broadcast threshold."""
     session = df.sparkSession._jsparkSession.sessionState()
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size.toString()) <= session.conf().autoBroadcastJoinThreshold()
+    return size <= session.conf().autoBroadcastJoinThreshold()
 
 
 def hot_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
