@@ -108,48 +108,42 @@ _CUSTOMER_COLUMNS = list(t._CUSTOMER)
 _PRODUCT_COLUMNS = list(t._PRODUCT)
 _ORDER_COLUMNS = list(t._ORDER)
 
-_keyed_customers = (
-    f"(SELECT * REPLACE ({_integer('customer_id')} AS customer_id, "
-    f"{_date('registration_date')} AS registration_date) FROM (SELECT DISTINCT * FROM raw_customers) d) k "
-    "WHERE customer_id IS NOT NULL"
-)
-_keyed_products = (
-    f"(SELECT * REPLACE ({_integer('product_id')} AS product_id) "
-    "FROM (SELECT DISTINCT * FROM raw_products) d) k WHERE product_id IS NOT NULL"
-)
-_keyed_orders = (
-    f"(SELECT * REPLACE ({_integer('order_id')} AS order_id, "
-    f"{_integer('customer_id')} AS customer_id, {_integer('product_id')} AS product_id) "
-    "FROM (SELECT DISTINCT * FROM raw_orders) d) k WHERE order_id IS NOT NULL"
-)
-
 _age = _number("age")
 _CLEAN = f"""{_RAW},
-clean_customers AS (
-  SELECT customer_id, {_upper('first_name')} AS first_name, {_upper('last_name')} AS last_name,
+typed_customers AS (
+  SELECT {_integer('customer_id')} AS customer_id, {_upper('first_name')} AS first_name,
+    {_upper('last_name')} AS last_name,
     {_trim('email')} AS email, {_trim('phone')} AS phone, {_upper('city')} AS city,
     'COLOMBIA' AS country,
     {_whole(f"CASE WHEN ({_age}) BETWEEN 0 AND 120 THEN ({_age}) END")} AS age,
-    registration_date, {_domain(_upper('loyalty_tier'), 'BRONZE', 'SILVER', 'GOLD')} AS loyalty_tier
-  FROM {_first(_CUSTOMER_COLUMNS, 'customer_id', _keyed_customers, 'registration_date NULLS LAST, ')} u),
-clean_products AS (
-  SELECT product_id, {_upper('product_name')} AS product_name, {_upper('category')} AS category,
+    {_date('registration_date')} AS registration_date,
+    {_domain(_upper('loyalty_tier'), 'BRONZE', 'SILVER', 'GOLD')} AS loyalty_tier
+  FROM (SELECT DISTINCT * FROM raw_customers) d),
+clean_customers AS (SELECT * EXCLUDE rn FROM
+  {_first(_CUSTOMER_COLUMNS, 'customer_id', 'typed_customers WHERE customer_id IS NOT NULL',
+          'registration_date NULLS LAST, ')} u),
+typed_products AS (
+  SELECT {_integer('product_id')} AS product_id, {_upper('product_name')} AS product_name,
+    {_upper('category')} AS category,
     {_cents(f"CASE WHEN ({_number('price_usd')}) > 0 THEN ({_number('price_usd')}) ELSE 0 END")} AS price_usd,
     {_cents(f"CASE WHEN ({_number('cost_usd')}) > 0 THEN ({_number('cost_usd')}) ELSE 0 END")} AS cost_usd,
     {_whole(f"CASE WHEN ({_number('stock_units')}) > 0 THEN ({_number('stock_units')}) ELSE 0 END")} AS stock_units,
     {_supplier('supplier')} AS supplier, {_boolean('active')} AS active
-  FROM {_first(_PRODUCT_COLUMNS, 'product_id', _keyed_products)} u),
+  FROM (SELECT DISTINCT * FROM raw_products) d),
+clean_products AS (SELECT * EXCLUDE rn FROM
+  {_first(_PRODUCT_COLUMNS, 'product_id', 'typed_products WHERE product_id IS NOT NULL')} u),
 typed_orders AS (
-  SELECT order_id, customer_id, product_id,
+  SELECT {_integer('order_id')} AS order_id, {_integer('customer_id')} AS customer_id,
+    {_integer('product_id')} AS product_id,
     {_quantity(_number('quantity'), _number('total_amount_usd'), _number('unit_price_usd'))} AS quantity,
     {_number('unit_price_usd')} AS unit_price_usd, {_number('total_amount_usd')} AS total_amount_usd,
-    {_date('order_date')} AS order_date, {_date('ship_date')} AS ship_date,
+    {_date('order_date')} AS order_date,
+    CASE WHEN {_date('ship_date')} < {_date('order_date')} THEN NULL ELSE {_date('ship_date')} END AS ship_date,
     {_STATUS} AS status, {_PAYMENT} AS payment_method,
     {_number('discount_pct')} AS discount_pct, {_trim('credit_card_last4')} AS credit_card_last4
-  FROM {_first(_ORDER_COLUMNS, 'order_id', _keyed_orders)} u),
-unchecked_orders AS (
-  SELECT * REPLACE (CASE WHEN ship_date < order_date THEN NULL ELSE ship_date END AS ship_date)
-  FROM typed_orders),
+  FROM (SELECT DISTINCT * FROM raw_orders) d),
+unchecked_orders AS (SELECT * EXCLUDE rn FROM
+  {_first(_ORDER_COLUMNS, 'order_id', 'typed_orders WHERE order_id IS NOT NULL')} u),
 clean_orders AS (
   SELECT * FROM unchecked_orders o
   WHERE EXISTS (SELECT 1 FROM clean_customers c WHERE c.customer_id = o.customer_id)

@@ -9,28 +9,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Dates arrive with three separators, without leading zeros, and sometimes impossible.
-_SEPARATED = (
-    "CASE {k} % 5 WHEN 0 THEN replace({d}, '-', '/') WHEN 1 THEN replace({d}, '-', '.') "
-    "WHEN 2 THEN concat(' ', replace({d}, '-0', '-'), ' ') ELSE {d} END"
-)
-
-
 def _dirty_date(day: str, key: str) -> str:
-    text = f"cast(cast({day} AS date) AS string)"
-    separated = _SEPARATED.format(k=key, d=text)
+    """Three separators, months without leading zero, impossible days, noise."""
+    separated = f"replace({day}, '-', substring('-/.', cast(1 + {key} % 3 AS int), 1))"
     return (
         f"CASE {key} % 53 WHEN 1 THEN NULL WHEN 2 THEN 'sin fecha' WHEN 3 THEN '2023-02-29' "
-        f"WHEN 4 THEN concat({text}, ' 10:00') ELSE {separated} END"
+        f"WHEN 4 THEN concat({day}, ' 10:00') WHEN 5 THEN replace({day}, '-0', '-') "
+        f"ELSE {separated} END"
     )
 
 
 def _dirty_id(key: str) -> str:
-    text = f"cast({key} AS string)"
+    """Blanks, a sign, decimals, words instead of numbers."""
     return (
-        f"CASE {key} % 59 WHEN 1 THEN concat(' ', {text}, ' ') WHEN 2 THEN concat({text}, '.0') "
-        f"WHEN 3 THEN concat('+', {text}) WHEN 4 THEN concat({text}, '.5') "
-        f"WHEN 5 THEN 'sin id' WHEN 6 THEN NULL ELSE {text} END"
+        f"CASE {key} % 59 WHEN 1 THEN 'sin id' WHEN 2 THEN NULL ELSE concat("
+        f"CASE {key} % 59 WHEN 3 THEN ' ' WHEN 4 THEN '+' ELSE '' END, cast({key} AS string), "
+        f"CASE {key} % 59 WHEN 5 THEN ' ' WHEN 6 THEN '.0' WHEN 7 THEN '.5' ELSE '' END) END"
     )
 
 
@@ -123,10 +117,16 @@ RAW_PRODUCTS = " UNION ALL ".join(
 )
 
 _LINES = "lineitem JOIN orders ON l_orderkey = o_orderkey"
-_LINE_ID = "(l_orderkey * 8 + l_linenumber)"
+
+# Line key and days as text, worked out once.
+_EXPORTED_LINES = (
+    "(SELECT *, l_orderkey * 8 + l_linenumber AS line_id, "
+    "cast(cast(o_orderdate AS date) AS string) AS order_day, "
+    f"cast(cast(l_shipdate AS date) AS string) AS ship_day FROM {_LINES}) lines"
+)
 
 _ORDER = {
-    "order_id": _dirty_id(_LINE_ID),
+    "order_id": _dirty_id("line_id"),
     "customer_id": (
         "CASE l_orderkey % 61 WHEN 0 THEN NULL WHEN 1 THEN '999999999' WHEN 2 THEN 'x' "
         "ELSE cast(o_custkey AS string) END"
@@ -136,18 +136,18 @@ _ORDER = {
         "ELSE concat(cast(l_partkey AS string), ' ') END"
     ),
     "quantity": (
-        f"CASE {_LINE_ID} % 23 WHEN 0 THEN NULL WHEN 1 THEN '-3' WHEN 2 THEN '0' "
+        "CASE line_id % 23 WHEN 0 THEN NULL WHEN 1 THEN '-3' WHEN 2 THEN '0' "
         "WHEN 3 THEN 'dos' ELSE cast(l_quantity AS string) END"
     ),
     "unit_price_usd": (
-        "CASE WHEN l_partkey % 71 = 0 THEN '0' "
+        "CASE l_partkey % 71 WHEN 0 THEN '0' "
         "ELSE cast(l_extendedprice / l_quantity AS string) END"
     ),
     "total_amount_usd": (
-        f"CASE WHEN {_LINE_ID} % 73 = 0 THEN NULL ELSE cast(l_extendedprice AS string) END"
+        "CASE line_id % 73 WHEN 0 THEN NULL ELSE cast(l_extendedprice AS string) END"
     ),
-    "order_date": _dirty_date("o_orderdate", "o_orderkey"),
-    "ship_date": _dirty_date("l_shipdate", _LINE_ID),
+    "order_date": _dirty_date("order_day", "o_orderkey"),
+    "ship_date": _dirty_date("ship_day", "line_id"),
     "status": (
         "CASE WHEN l_returnflag = 'R' THEN 'Returned' WHEN o_orderstatus = 'F' THEN 'completed' "
         "WHEN o_orderstatus = 'O' THEN ' Pending ' WHEN l_linenumber = 7 THEN 'Shipped' "
@@ -158,20 +158,19 @@ _ORDER = {
         "WHEN 4 THEN ' cash' WHEN 5 THEN 'credit  card' WHEN 6 THEN 'Bitcoin' END"
     ),
     "discount_pct": (
-        f"CASE {_LINE_ID} % 29 WHEN 0 THEN NULL WHEN 1 THEN '5%' "
+        "CASE line_id % 29 WHEN 0 THEN NULL WHEN 1 THEN '5%' "
         "ELSE cast(l_discount * 100 AS string) END"
     ),
     "credit_card_last4": (
-        "CASE WHEN l_linenumber = 4 THEN NULL "
-        "ELSE concat(' ', cast(1000 + l_suppkey AS string)) END"
+        "CASE WHEN l_linenumber < 4 THEN concat(' ', cast(1000 + l_suppkey AS string)) END"
     ),
 }
 
 # Returned open lines were exported twice; line numbers repeat within an order by themselves.
 RAW_ORDERS = " UNION ALL ".join(
     [
-        _select(_ORDER, _LINES),
-        _select(_ORDER, f"{_LINES} WHERE l_returnflag = 'R' AND l_linestatus = 'O'"),
+        _select(_ORDER, _EXPORTED_LINES),
+        _select(_ORDER, f"{_EXPORTED_LINES} WHERE l_returnflag = 'R' AND l_linestatus = 'O'"),
         _empty_rows(_ORDER),
     ]
 )
@@ -242,13 +241,26 @@ STAGE_ORDERS = _select(
 _TABLES = ("nation", "customer", "part", "orders", "lineitem")
 
 
+# Below this size a scan is not worth spreading.
+_SMALL = 4 * 1024 * 1024
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A benchmark table. Each is one file with one row group, which one task must read; the rows
+    of a larger one are spread over the cores where the scan has fewer partitions than cores.
+    Tables of many files, as at scale, are never shuffled here."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    large = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() > _SMALL
+    if large and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
-def derive(spark: SparkSession, sf_dir: str, sql: str, tables=_TABLES) -> DataFrame:
+def derive(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """A derivation over the benchmark tables it names, as a Spark plan."""
-    inputs = {name: table(spark, sf_dir, name) for name in tables if name in sql.split()}
+    words = sql.replace(")", " ").split()
+    inputs = {name: table(spark, sf_dir, name) for name in _TABLES if name in words}
     for name in inputs:
         sql = sql.replace(f"FROM {name}", f"FROM {{{name}}} AS {name}")
         sql = sql.replace(f"JOIN {name}", f"JOIN {{{name}}} AS {name}")

@@ -46,10 +46,8 @@ def payment_code(text: Column) -> Column:
 
 def canonical_supplier(text: Column) -> Column:
     """`proveedor_a` -> `PROVEEDOR A`: the last letter is the supplier's code."""
-    code = F.right(F.rtrim(F.upper(text), F.lit(WHITESPACE)), F.lit(1))
-    return F.when(
-        code.between("A", "Z"), F.concat(F.lit(SUPPLIER_PREFIX), code)
-    ).otherwise(F.lit(UNKNOWN))
+    code = F.regexp_substr(F.rtrim(F.upper(text), F.lit(WHITESPACE)), F.lit(r"[A-Z]\z"))
+    return F.coalesce(F.concat(F.lit(SUPPLIER_PREFIX), code), F.lit(UNKNOWN))
 
 
 def to_boolean(text: Column) -> Column:
@@ -70,6 +68,4 @@ def email_token(email: Column) -> Column:
 def mask_phone(phone: Column) -> Column:
     """Show the last four digits only; a missing phone stays null."""
     digits = F.regexp_replace(phone, r"\D", "")
-    return F.when(
-        phone.isNotNull(), F.concat(F.lit(PHONE_MASK), F.right(digits, F.lit(4)))
-    )
+    return F.concat(F.lit(PHONE_MASK), F.right(digits, F.lit(4)))

@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sedimenta.operators.rows import drop_null_keys
+
 # A key is hot when it holds more than 1/SLICES of the rows, so there are fewer than SLICES hot
 # keys and fewer than 2 * SLICES slices, whatever the size of the data.
 SLICES = 1024
@@ -47,7 +49,7 @@ def fits_broadcast(df: DataFrame) -> bool:
 
 def hot_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
     """Keys with more than 1/SLICES of the rows, and how many slices each should be cut into."""
-    counts = df.na.drop(subset=list(on)).groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
+    counts = drop_null_keys(df, on).groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
     share = F.col("n") * SLICES / counts.agg(F.sum("n")).scalar()
     return counts.filter(share > 1).select(*on, F.ceil(share).cast("int").alias(_SLICES))
 

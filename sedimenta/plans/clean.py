@@ -1,8 +1,12 @@
 """Raw text to typed, clean rows.
 
-Each table costs one shuffle, on its key. Exact copies, empty rows and rows without a usable key
-need no step of their own: copies share a key and `keep_first` keeps one of them, and an empty
-row has no key.
+Rows are parsed and put right first and then reduced to one per key, so the one shuffle of each
+table carries typed values instead of text, and ties are decided on clean values. Exact copies,
+empty rows and rows without a usable key need no step of their own: copies share a key and
+`keep_first` keeps one of them, and an empty row has no key.
+
+Each table is read in two projections: texts are parsed into columns, then rules refer to those
+columns, so no parse is repeated however often a rule mentions its result.
 """
 
 from __future__ import annotations
@@ -38,87 +42,100 @@ from sedimenta.operators.rows import drop_null_keys, keep_first
 col = F.col
 
 
+def _parsed(raw: DataFrame, key: str, columns: dict) -> DataFrame:
+    """The parsed columns of rows that have a usable key."""
+    parsed = raw.select(*[column.alias(name) for name, column in columns.items()])
+    return drop_null_keys(parsed, [key])
+
+
+def _each(function, names: list[str]) -> dict:
+    return {name: function(col(name)) for name in names}
+
+
 def clean_customers(raw: DataFrame) -> DataFrame:
     """One row per customer: of several, the one registered first."""
-    parsed = raw.withColumns(
+    parsed = _parsed(
+        raw,
+        "customer_id",
         {
             "customer_id": to_integer(col("customer_id")),
+            **_each(upper_text, ["first_name", "last_name"]),
+            **_each(trim_text, ["email", "phone"]),
+            "city": upper_text(col("city")),
+            "country": F.lit(COUNTRY),
+            "age": to_number(col("age")),
             "registration_date": parse_date(col("registration_date")),
-        }
-    )
-    unique = keep_first(
-        drop_null_keys(parsed, ["customer_id"]),
-        ["customer_id"],
-        [col("registration_date").asc_nulls_last()],
+            "loyalty_tier": upper_text(col("loyalty_tier")),
+        },
     )
-    return unique.select(
-        "customer_id",
-        *[upper_text(col(c)).alias(c) for c in ("first_name", "last_name")],
-        *[trim_text(col(c)).alias(c) for c in ("email", "phone")],
-        upper_text(col("city")).alias("city"),
-        F.lit(COUNTRY).alias("country"),
-        whole(in_range(to_number(col("age")), 0, 120)).alias("age"),
-        "registration_date",
-        in_domain(upper_text(col("loyalty_tier")), TIERS).alias("loyalty_tier"),
+    customers = parsed.withColumns(
+        {
+            "age": whole(in_range(col("age"), 0, 120)),
+            "loyalty_tier": in_domain(col("loyalty_tier"), TIERS),
+        }
     )
+    return keep_first(customers, ["customer_id"], [col("registration_date").asc_nulls_last()])
 
 
 def clean_products(raw: DataFrame) -> DataFrame:
     """One row per product, invalid prices, costs and stocks as 0."""
-    parsed = raw.withColumn("product_id", to_integer(col("product_id")))
-    unique = keep_first(drop_null_keys(parsed, ["product_id"]), ["product_id"])
-    amounts = [
-        cents(positive_or_zero(to_number(col(c)))).alias(c) for c in ("price_usd", "cost_usd")
-    ]
-    return unique.select(
+    parsed = _parsed(
+        raw,
         "product_id",
-        *[upper_text(col(c)).alias(c) for c in ("product_name", "category")],
-        *amounts,
-        whole(positive_or_zero(to_number(col("stock_units")))).alias("stock_units"),
-        canonical_supplier(col("supplier")).alias("supplier"),
-        to_boolean(col("active")).alias("active"),
+        {
+            "product_id": to_integer(col("product_id")),
+            **_each(upper_text, ["product_name", "category"]),
+            **_each(to_number, ["price_usd", "cost_usd", "stock_units"]),
+            "supplier": canonical_supplier(col("supplier")),
+            "active": to_boolean(col("active")),
+        },
     )
-
-
-def keyed_orders(raw: DataFrame) -> DataFrame:
-    """One row per order with its references as numbers, the rest still text."""
-    ids = {c: to_integer(col(c)) for c in ("order_id", "customer_id", "product_id")}
-    return keep_first(drop_null_keys(raw.withColumns(ids), ["order_id"]), ["order_id"])
+    products = parsed.withColumns(
+        {
+            "price_usd": cents(positive_or_zero(col("price_usd"))),
+            "cost_usd": cents(positive_or_zero(col("cost_usd"))),
+            "stock_units": whole(positive_or_zero(col("stock_units"))),
+        }
+    )
+    return keep_first(products, ["product_id"])
 
 
 def clean_orders(
     raw: DataFrame, customers: DataFrame | None = None, products: DataFrame | None = None
 ) -> DataFrame:
     """One row per order; with both parents given, only orders whose references exist."""
-    orders = keyed_orders(raw)
-    amounts = {
-        c: to_number(col(c)) for c in ("unit_price_usd", "total_amount_usd", "discount_pct")
-    }
-    order_date, ship_date = parse_date(col("order_date")), parse_date(col("ship_date"))
-    clean = orders.select(
+    parsed = _parsed(
+        raw,
         "order_id",
-        "customer_id",
-        "product_id",
-        repair_quantity(
-            to_number(col("quantity")), amounts["total_amount_usd"], amounts["unit_price_usd"]
-        ).alias("quantity"),
-        amounts["unit_price_usd"].alias("unit_price_usd"),
-        amounts["total_amount_usd"].alias("total_amount_usd"),
-        order_date.alias("order_date"),
-        not_before(ship_date, order_date).alias("ship_date"),
-        in_domain(upper_text(col("status")), STATUSES).alias("status"),
-        in_domain(payment_code(col("payment_method")), PAYMENTS).alias("payment_method"),
-        amounts["discount_pct"].alias("discount_pct"),
-        trim_text(col("credit_card_last4")).alias("credit_card_last4"),
+        {
+            **_each(to_integer, ["order_id", "customer_id", "product_id"]),
+            **_each(to_number, ["quantity", "unit_price_usd", "total_amount_usd"]),
+            **_each(parse_date, ["order_date", "ship_date"]),
+            "status": upper_text(col("status")),
+            "payment_method": payment_code(col("payment_method")),
+            "discount_pct": to_number(col("discount_pct")),
+            "credit_card_last4": trim_text(col("credit_card_last4")),
+        },
+    )
+    orders = parsed.withColumns(
+        {
+            "quantity": repair_quantity(
+                col("quantity"), col("total_amount_usd"), col("unit_price_usd")
+            ),
+            "ship_date": not_before(col("ship_date"), col("order_date")),
+            "status": in_domain(col("status"), STATUSES),
+            "payment_method": in_domain(col("payment_method"), PAYMENTS),
+        }
     )
+    unique = keep_first(orders, ["order_id"])
     if customers is None or products is None:
-        return clean
-    # Hot references are looked up in the raw scan, so finding them does not repeat the dedup.
+        return unique
+    # References with most rows are found in the raw scan, so that does not repeat the dedup.
     references = raw.select(
         *[to_integer(col(c)).alias(c) for c in ("customer_id", "product_id")]
     )
     return referential_filter(
-        clean,
+        unique,
         order_parents(customers, products),
         spread=["order_id"],
         hot_source=references,

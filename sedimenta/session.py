@@ -12,6 +12,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # The JVM never compiles a method above 8,000 bytes. A stage that parses many columns can
+    # pass that, and then runs faster operator by operator than fused and interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

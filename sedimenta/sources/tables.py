@@ -86,7 +86,7 @@ def shared_folder(spark: SparkSession) -> str:
     """Where intermediate results are written: the folder the cluster names, which every
     executor reaches, or else one beside the tables."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_held"
+    return f"{named or spark.conf.get('spark.sql.warehouse.dir')}/_held"
 
 
 def hold(df: DataFrame, name: str) -> tuple[DataFrame, str]:

@@ -33,7 +33,7 @@ CASES = {
         {
             " 12 ": 12, "1e3": 1000, "+5": 5, "-7": -7, "12.0": 12, "12.": 12, "0x1F": None,
             "1_000": None, "1,000": None, "": None, "nan": None, "12.5": None, "inf": None,
-            "Infinity": None, "12L": None, " 12　": 12, "1e40": None, ".0": 0,
+            "Infinity": None, "12L": None, "\t12\n": 12, "12\u3000": None, "1e40": None, ".0": 0,
             "9007199254740993": 9007199254740993, "9223372036854775807": 2**63 - 1,
             "9223372036854775808": None, None: None,
         },
