@@ -9,22 +9,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+def _pick(pieces: list[str], key: str) -> str:
+    """One of some equally long texts, by the remainder of the key."""
+    width = len(pieces[0])
+    start = f"cast(1 + {width} * ({key} % {len(pieces)}) AS int)"
+    return f"substring('{''.join(pieces)}', {start}, {width})"
+
+
 def _dirty_date(day: str, key: str) -> str:
-    """Three separators, months without leading zero, impossible days, noise."""
-    separated = f"replace({day}, '-', substring('-/.', cast(1 + {key} % 3 AS int), 1))"
+    """Three separators, missing and impossible days, a time of day."""
+    separated = f"replace({day}, '-', {_pick(['-', '/', '.'], key)})"
+    time = _pick([" " * 6] * 25 + [" 10:00"], key)
     return (
-        f"CASE {key} % 53 WHEN 1 THEN NULL WHEN 2 THEN 'sin fecha' WHEN 3 THEN '2023-02-29' "
-        f"WHEN 4 THEN concat({day}, ' 10:00') WHEN 5 THEN replace({day}, '-0', '-') "
-        f"ELSE {separated} END"
+        f"CASE {key} % 53 WHEN 1 THEN NULL WHEN 2 THEN '2023-2-29' "
+        f"ELSE concat({separated}, {time}) END"
     )
 
 
 def _dirty_id(key: str) -> str:
-    """Blanks, a sign, decimals, words instead of numbers."""
+    """Blanks, signs, decimals, words instead of numbers, nothing."""
+    sign, decimals = _pick([" ", "+"], key), _pick(["  "] * 18 + [".0", ".5"], key)
     return (
-        f"CASE {key} % 59 WHEN 1 THEN 'sin id' WHEN 2 THEN NULL ELSE concat("
-        f"CASE {key} % 59 WHEN 3 THEN ' ' WHEN 4 THEN '+' ELSE '' END, cast({key} AS string), "
-        f"CASE {key} % 59 WHEN 5 THEN ' ' WHEN 6 THEN '.0' WHEN 7 THEN '.5' ELSE '' END) END"
+        f"CASE {key} % 59 WHEN 1 THEN 'sin id' WHEN 2 THEN NULL "
+        f"ELSE concat({sign}, cast({key} AS string), {decimals}) END"
     )
 
 

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.functions.numbers import to_number
-from sedimenta.operators.joins import Parent, orphans
+from sedimenta.operators.joins import Parent, lookup
+from sedimenta.operators.rows import drop_null_keys
 
 
 def _findings(df: DataFrame, findings: Sequence[Mapping[str, Column]]) -> DataFrame:
@@ -53,7 +54,7 @@ def profile_row_dups(df: DataFrame) -> DataFrame:
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     """Known keys held by more than one row, most frequent first."""
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    counts = drop_null_keys(df, [key]).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     return counts.filter("n > 1").orderBy(F.desc("n"), key)
 
 
@@ -119,22 +120,22 @@ def list_violations(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
 def dq_checks(
     df: DataFrame, key: str, rules: Mapping[str, Column], parents: Mapping[str, Parent]
 ) -> DataFrame:
-    """Rule violations, repeated keys and missing parents as (check_name, violations)."""
-    repeated = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    checks = count_violations(df, rules).unionByName(
+    """Rule violations, missing parents and repeated keys as (check_name, violations).
+
+    Parents are looked up on the way, so rules and references share one pass.
+    """
+    child, rules = df, dict(rules)
+    for i, (name, parent) in enumerate(parents.items()):
+        known = parent.keys().distinct().withColumn(f"_known_{i}", F.lit(True))
+        child = lookup(child, known, [parent.foreign], "left", [key])
+        rules[name] = F.col(f"_known_{i}").isNull()
+    repeated = drop_null_keys(df, [key]).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return count_violations(child, rules).unionByName(
         repeated.agg(
             F.lit("repeated_key").alias("check_name"),
             F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("violations"),
         )
     )
-    for name, parent in parents.items():
-        missing = orphans(df.select(key, parent.foreign), parent, [key])
-        checks = checks.unionByName(
-            missing.agg(
-                F.lit(name).alias("check_name"), F.count(F.lit(1)).alias("violations")
-            )
-        )
-    return checks
 
 
 def load_metrics(raw: DataFrame, key: Column, kept: DataFrame | None = None) -> DataFrame:
