@@ -202,17 +202,22 @@ def test_quarter_question_reads_only_its_months(spark):
     assert [tuple(r) for r in question.collect()] == [(0, "x", 5), (1, "x", 5), (2, "x", 5)]
 
 
-def test_shared_folder_is_the_sessions(spark):
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    expected = named or spark.conf.get("spark.sql.warehouse.dir")
-    assert tables.shared_folder(spark) == f"{expected}/_held"
-    spark.conf.set("spark.checkpoint.dir", "/shared/here")
-    try:
-        assert tables.shared_folder(spark) == "/shared/here/_held"
-    finally:
-        spark.conf.set("spark.checkpoint.dir", named) if named else spark.conf.unset(
-            "spark.checkpoint.dir"
-        )
+class Session:
+    """Just the settings of a session; the folder is fixed when a real one starts."""
+
+    def __init__(self, **settings):
+        self.settings = {key.replace("_", "."): value for key, value in settings.items()}
+        self.conf = self
+
+    def get(self, key, default=None):
+        return self.settings.get(key, default)
+
+
+def test_shared_folder_is_the_one_the_cluster_names():
+    named = Session(spark_checkpoint_dir="hdfs://shared", spark_sql_warehouse_dir="hdfs://lake")
+    assert tables.shared_folder(named) == "hdfs://shared/_held"
+    unset = Session(spark_sql_warehouse_dir="hdfs://lake")
+    assert tables.shared_folder(unset) == "hdfs://lake/_held"
 
 
 def test_released_results_may_be_gone_already(spark):
