@@ -5,13 +5,33 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import packing, sharding
+from sedimenta.llm import ngram_join, packing, quality, sharding, suffixes, toxicity
 from sedimenta.llm.common import read
 
 
+def _fold(doc_id: Column, folds: int) -> Column:
+    return F.crc32(doc_id.cast("string").cast("binary")) % folds
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    fold = _fold(F.col("doc_id"), 5)
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"), fold != 0)
+    held_out = F.coalesce(fold == 0, F.lit(False)).alias("held_out")
+    return toxicity.score(docs, model).select("doc_id", held_out, "score", "predicted")
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    fold = _fold(F.col("doc_id"), 3)
+    model = quality.fit(docs, read(spark, sf_dir, "labels"), fold != 1)
+    held_out = F.coalesce(fold == 1, F.lit(False)).alias("held_out")
+    return quality.score(docs, model).select("doc_id", held_out, "score", "predicted")
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")
     rows = read(spark, sf_dir, "documents").select(
@@ -24,14 +44,32 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(read(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("span_starts").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer)
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_classes(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_toxicity": op4_toxicity,
+    "op6_quality": op6_quality,
     "op5_sharding": op5_sharding,
     "op7_packing": op7_packing,
+    "op10_ngram_join": op10_ngram_join,
 }
 
 ORACLE: dict[str, str] = {}
