@@ -86,8 +86,6 @@ def grouped(
 ) -> DataFrame:
     """Join the blobs of each bucket: `settle(keys, codes, variants, more, kind, batch)`."""
 
-    wants_bucket = schema.startswith("bucket")
-
     def join(group: pd.DataFrame) -> pd.DataFrame:
         parts = []
         for number, row in enumerate(group.itertuples(index=False)):
@@ -104,8 +102,7 @@ def grouped(
                 )
             )
         keys, codes, variants, more, kind, batch = (np.concatenate(p, axis=-1) for p in zip(*parts))
-        settled = settle(keys, codes, variants, more, kind, batch)
-        return settled.assign(bucket=np.int32(group["bucket"].iloc[0])) if wants_bucket else settled
+        return settle(keys, codes, variants, more, kind, batch)
 
     return shipped.groupBy("bucket").applyInPandas(join, schema)
 

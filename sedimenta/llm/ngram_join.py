@@ -1,9 +1,10 @@
 """Exact Jaccard self-join of documents' n-gram sets by prefix trees.
 
-Sets are written in one global order, rare n-grams first, so two sets that are alike enough share
-an n-gram among the first quarter of each. The order comes from counts over all documents, kept
-in a table of `SLOTS` counters by hash; any fixed order gives the same links, a good one fewer
-candidates. Candidates are verified by tries: a probe walks the trie of its partners' ordered
+A radix pass over all n-grams counts how many of each set another set also holds; sets that share
+too few for any link leave. The others are written in one global order, rare n-grams first, so two
+sets that are alike enough share an n-gram among the first quarter of each. The order comes from
+counts over all documents, kept in a table of `SLOTS` counters by hash; any fixed order gives the
+same links, a good one fewer candidates. Candidates are verified by tries: a probe walks the trie of its partners' ordered
 sets, branches share the overlap counted so far, and a branch is left as soon as what remains
 cannot reach the threshold.
 
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.llm import digits
-from sedimenta.llm.common import DOC_ID, TEXT, components, documents, mix, staged
+from sedimenta.llm.common import DOC_ID, TEXT, components, documents, mix, segment_ranges, staged
 from sedimenta.llm.hashing import parts, powers
 
 WORDS = 5
@@ -110,41 +111,41 @@ def _ordered(token: np.ndarray, counts: np.ndarray, frequency: np.ndarray) -> np
     return token[np.lexsort((token, frequency[_slot(token)], doc))]
 
 
-def _shared_prefixes(docs: DataFrame, frequency, n_tokens: int) -> DataFrame:
-    """(token, node, n) for the tokens in a set's prefix that another set's prefix also holds."""
+def _shared_counts(docs: DataFrame, n_tokens: int) -> DataFrame:
+    """(node, n, shared): how many of a set's n-grams another set also holds, at least one row for
+    every set that has some. A count may be above the truth where shortened hashes meet, never
+    below it."""
     n_buckets, bits = digits.buckets_for(n_tokens), digits.bits_for(n_tokens)
 
     def ship(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in digits.text_batches(batches, BATCH_CHARS):
             token, counts = _sets(batch)
             node = _nodes(token, counts, digits.to_code(batch[DOC_ID].to_numpy()))
-            token = _ordered(token, counts, frequency.value)
-            first = np.cumsum(counts) - counts
-            unique, rows = np.unique(node, return_index=True)
-            rows = rows[counts[rows] > 0]
-            # |a and b| >= 3/4 of the larger set, so a quarter of it and one more must meet.
-            length = counts[rows] - -(-counts[rows] * SIMILAR // OUT_OF) + 1
-            owner = np.repeat(np.arange(len(rows)), length)
-            at = np.arange(len(owner)) - np.repeat(np.cumsum(length) - length, length)
-            key = digits.narrowed(mix(token[np.repeat(first[rows], length) + at], 17), bits)
-            if not len(key):
+            _, rows = np.unique(node, return_index=True)
+            rows = np.sort(rows[counts[rows] > 0])
+            if not len(rows):
                 continue
-            order = np.lexsort((owner, key))
+            owner = np.repeat(np.arange(len(rows)), counts[rows])
+            first = np.cumsum(counts) - counts
+            key = digits.narrowed(mix(token[segment_ranges(first[rows], counts[rows])], 17), bits)
+            order = np.argsort(key)
             key, owner = key[order], owner[order]
             group = np.cumsum(digits.runs(key)) - 1
             settled = (np.bincount(group) > 1)[group]
             shared = np.unique(key[settled])
-            # What is settled here goes to any bucket and keeps its key beside it.
-            scattered = digits.narrowed(mix(np.arange(len(key), dtype=np.uint64)), bits)
-            none = np.zeros(len(shared), dtype=np.uint64)
+            # What is settled here is one count per document, handed on by any bucket.
+            here = np.bincount(owner[settled], minlength=len(rows))
+            counted = np.flatnonzero(here)
+            scattered = digits.narrowed(mix(np.arange(len(counted), dtype=np.uint64)), bits)
+            kinds = [(RECORD, key[~settled], owner[~settled]), (SHARED, shared, 0 * shared), (SETTLED, scattered, counted)]
             yield digits.blobs(
                 n_buckets,
-                np.concatenate((np.where(settled, scattered, key), shared)),
-                np.concatenate((owner, none.astype(np.int64))),
+                np.concatenate([k for _, k, _ in kinds]),
+                np.concatenate([o.astype(np.int64) for _, _, o in kinds]),
                 node[rows],
                 counts[rows].astype(np.uint64),
-                [np.concatenate((np.where(settled, key, np.uint64(0)), none))],
-                np.concatenate((np.where(settled, SETTLED, RECORD).astype(np.uint64), none + np.uint64(SHARED))),
+                [np.concatenate([np.zeros(len(key) - settled.sum() + len(shared), np.int64), here[counted]])],
+                np.concatenate([np.full(len(k), kind, np.uint64) for kind, k, _ in kinds]),
             )
 
     def settle(keys, nodes, sizes, more, kind, batch) -> pd.DataFrame:
@@ -156,21 +157,15 @@ def _shared_prefixes(docs: DataFrame, frequency, n_tokens: int) -> DataFrame:
         at = at[several | np.isin(keys[at], keys[kind == SHARED])]
         handed = np.flatnonzero(kind == SETTLED)
         chosen = np.concatenate((handed, at))
-        # Buckets divide the keys without remainder of the bucket itself; that is put back here.
-        token = np.concatenate((more[0][handed], keys[at]))
-        return pd.DataFrame(
-            {
-                "token": token.view(np.int64),
-                "handed": np.arange(len(chosen)) < len(handed),
-                "node": nodes[chosen].view(np.int64),
-                "n": sizes[chosen].astype(np.int64),
-            }
-        )
+        weight = np.concatenate((more[0][handed].astype(np.int64), np.ones(len(at), np.int64)))
+        node, place = np.unique(nodes[chosen], return_inverse=True)
+        size = np.zeros(len(node), dtype=np.int64)
+        size[place] = sizes[chosen]
+        shared = np.bincount(place, weight, len(node)).astype(np.int64)
+        return pd.DataFrame({"node": node.view(np.int64), "n": size, "shared": shared})
 
     shipped = docs.mapInPandas(ship, digits.BLOB_SCHEMA)
-    rows = digits.grouped(shipped, 1, settle, "bucket int, token long, handed boolean, node long, n long")
-    whole = F.col("token") * F.lit(n_buckets) + F.col("bucket")
-    return rows.select(F.when(F.col("handed"), F.col("token")).otherwise(whole).alias("token"), "node", "n")
+    return digits.grouped(shipped, 1, settle, "node long, n long, shared long")
 
 
 def _set_rows(docs: DataFrame, frequency) -> DataFrame:
@@ -189,6 +184,25 @@ def _set_rows(docs: DataFrame, frequency) -> DataFrame:
     return docs.mapInPandas(rows, "node long, n long, tokens binary")
 
 
+def _prefixes(sets: DataFrame) -> DataFrame:
+    """(token, node, n) for a quarter of each set's n-grams and one more, the rare ones: two sets
+    that are similar meet there, as each holds three quarters of the larger one."""
+    n = F.col("n")
+    length = (n - F.ceil(n * SIMILAR / OUT_OF) + 1).cast("int")
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            lists = [np.frombuffer(t, np.int64)[:k] for t, k in zip(batch["tokens"], batch["length"])]
+            if lists:
+                each = [len(x) for x in lists]
+                token = np.concatenate(lists)
+                yield pd.DataFrame(
+                    {"token": token, "node": np.repeat(batch["node"], each), "n": np.repeat(batch["n"], each)}
+                )
+
+    return sets.withColumn("length", length).mapInPandas(rows, "token long, node long, n long")
+
+
 def walk(probe: np.ndarray, partners: list[np.ndarray], step: int = 64) -> list[bool]:
     """Which partners are similar to the probe, by a walk over the trie of their ordered sets.
 
@@ -281,12 +295,15 @@ def join_classes(docs: DataFrame) -> DataFrame:
     counters[counted["slot"].to_numpy()] = counted["count"].to_numpy()
     frequency = spark.sparkContext.broadcast(counters)
 
-    n_tokens = int(rows.agg(F.coalesce(F.sum(F.floor(F.col("n") / OUT_OF) + 1), F.lit(0))).first()[0])
-    shared = staged(_shared_prefixes(text, frequency, n_tokens), "shared")
-    needed = rows.join(shared.select("node").distinct(), "node", "left_semi")
-    needed = needed.groupBy("node").agg(F.min(DOC_ID).alias(DOC_ID)).select(DOC_ID).distinct()
-    sets = _set_rows(text.join(needed, DOC_ID, "left_semi"), frequency)
+    # A set with a similar partner shares three quarters of its n-grams; most sets end here.
+    n_tokens = int(rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    held = _shared_counts(text, n_tokens).groupBy("node", "n").agg(F.sum("shared").alias("shared"))
+    held = held.filter(F.col("shared") * OUT_OF >= F.col("n") * SIMILAR).select("node")
+    needed = rows.join(held, "node", "left_semi").groupBy("node").agg(F.min(DOC_ID).alias(DOC_ID))
+    needed = staged(needed, "needed")
+    sets = _set_rows(text.join(needed.select(DOC_ID).distinct(), DOC_ID, "left_semi"), frequency)
     sets = staged(sets.filter("n > 0"), "sets")
+    shared = staged(_prefixes(sets), "prefixes")
 
     # Sizes in one band are compatible, so each member may be compared with the band's leader.
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(OUT_OF / SIMILAR)))

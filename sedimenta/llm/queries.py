@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import ngram_join, packing, quality, sharding, suffixes, toxicity
+from sedimenta.llm import embedding_dedup, neighbours, ngram_join, packing, quality, sharding, suffixes, toxicity
 from sedimenta.llm.common import read
 
 
@@ -44,6 +44,14 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(read(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -64,6 +72,8 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_neighbours": op1_neighbours,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_toxicity": op4_toxicity,
     "op6_quality": op6_quality,

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from sedimenta.llm.common import documents
 
 WORD = re.compile(r"[^\W_]+")
-BUCKETS = 1 << 16
-SHORTEST, LONGEST = 3, 5
+BUCKETS = 1 << 20
+SHORTEST, LONGEST = 3, 6
 CACHE_ENTRIES = 300_000
 
 
@@ -68,9 +68,8 @@ def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
         own = subwords(word)
         buckets += own
         shares += [count / total / len(own)] * len(own)
-    summed = np.bincount(buckets, weights=shares, minlength=BUCKETS)
-    found = np.flatnonzero(summed)
-    return found.astype(np.int32), summed[found].astype(np.float32)
+    found, place = np.unique(np.array(buckets, np.int32), return_inverse=True)
+    return found, np.bincount(place, shares).astype(np.float32)
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, in_training: Column, rows: int) -> DataFrame:
