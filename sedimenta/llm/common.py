@@ -28,9 +28,10 @@ def reach_workers(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
 
 
-def documents(docs: DataFrame) -> DataFrame:
-    """`doc_id` and whole `text` (null: empty) and nothing else, whatever the table also holds."""
-    return docs.select(F.col(DOC_ID).cast("long"), F.coalesce(F.col(TEXT), F.lit("")).alias(TEXT))
+def documents(docs: DataFrame, *more: Column) -> DataFrame:
+    """`doc_id` and whole `text` (null: empty) and nothing else but `more`, whatever the table holds."""
+    text = F.coalesce(F.col(TEXT), F.lit("")).alias(TEXT)
+    return docs.select(F.col(DOC_ID).cast("long").alias(DOC_ID), text, *more)
 
 
 def shared_folder(spark: SparkSession) -> str:

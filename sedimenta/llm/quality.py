@@ -8,16 +8,16 @@ chances (forward-backward) weighted by their lengths.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from operator import eq
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import documents
+from sedimenta.llm.common import DOC_ID, TEXT, documents
 from sedimenta.llm.toxicity import labelled
 
 # Shares of bytes by class, then shares of words, then length and being first or last.
@@ -202,20 +202,27 @@ def judge(texts: list[str], model: Model) -> np.ndarray:
     return np.add.reduceat(chance * weight, starts) / np.add.reduceat(weight, starts)
 
 
-def score(docs: DataFrame, model: Model, at_once: int = 500) -> DataFrame:
-    """`doc_id`, `score` (0 to 1, higher: likelier good) and `predicted` for every document.
+def scorer(spark: SparkSession, model: Model, at_once: int = 500) -> Callable[[Column], Column]:
+    """A function of a text column: its score, 0 to 1, higher where good is likelier. A null or
+    empty text is one empty line."""
+    shared = spark.sparkContext.broadcast(model)
 
-    A null or empty text is one empty line; null or repeated ids and repeated rows are scored as
-    any other; an empty table stays empty; other columns take no part.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("double")
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            texts = batch.pop("text").tolist()
+            texts = batch.tolist()
             parts = [judge(texts[i : i + at_once], shared.value) for i in range(0, len(texts), at_once)]
-            scores = np.clip(np.concatenate([*parts, np.empty(0)]), 0, 1)
-            batch["doc_id"] = batch["doc_id"].astype("Int64")
-            yield batch.assign(score=scores, predicted=(scores >= 0.5).astype("int32"))
+            yield pd.Series(np.clip(np.concatenate([*parts, np.empty(0)]), 0, 1))
+
+    return lambda text: scored(F.coalesce(text, F.lit("")))
 
-    return documents(docs).mapInPandas(scored, "doc_id long, score double, predicted int")
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """`doc_id`, `score` and `predicted` (1 if the score is 0.5 or more) for every row.
+
+    Null or repeated ids and repeated rows are scored as any other; an empty table stays empty;
+    other columns take no part.
+    """
+    scored = scorer(docs.sparkSession, model)(F.col(TEXT)).alias("score")
+    rows = documents(docs).select(DOC_ID, scored)
+    return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import embedding_dedup, neighbours, ngram_join, packing, quality, sharding, suffixes, toxicity
+from sedimenta.llm import (
+    embedding_dedup,
+    licenses,
+    neighbours,
+    ngram_join,
+    packing,
+    pieces,
+    quality,
+    sharding,
+    suffixes,
+    toxicity,
+)
 from sedimenta.llm.common import read
 
 
@@ -71,6 +82,24 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_classes(read(spark, sf_dir, "documents"))
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = pieces.encode(read(spark, sf_dir, "documents"), model)
+    return pieces.decode(encoded, model).select(
+        "doc_id",
+        "chunk",
+        "start",
+        "length",
+        "n_ids",
+        F.crc32("ids").alias("ids_crc32"),
+        F.crc32(F.col("text").cast("binary")).alias("decoded_crc32"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": op1_neighbours,
     "op9_embedding_dedup": op9_embedding_dedup,
@@ -78,8 +107,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op6_quality": op6_quality,
     "op5_sharding": op5_sharding,
+    "op2_licenses": op2_licenses,
     "op7_packing": op7_packing,
+    "op8_pieces": op8_pieces,
     "op10_ngram_join": op10_ngram_join,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op2_licenses": licenses.oracle_sql()}

@@ -2,8 +2,9 @@
 
 A word is the mean of the vectors of its character n-grams and of itself, a document the mean of
 its words, and both the vectors and the softmax over them are learned together. Unseen spellings
-share n-grams with seen ones. Since the model is linear after training, a word has one score, so
-scoring a text looks up its words.
+share n-grams with seen ones. N-grams that are about as frequent under either label keep a vector
+of zero, as they could only learn single documents by heart. Since the model is linear after
+training, a word has one score, so scoring a text looks up its words.
 """
 
 from __future__ import annotations
@@ -11,15 +12,15 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import documents
+from sedimenta.llm.common import DOC_ID, TEXT, documents, staged
 
 WORD = re.compile(r"[^\W_]+")
 BUCKETS = 1 << 20
@@ -29,13 +30,18 @@ CACHE_ENTRIES = 300_000
 
 @dataclass(frozen=True)
 class Training:
-    """`rows` bounds the labelled rows that are learned from; a text is used whole."""
+    """`rows` bounds the labelled rows that are learned from; a text is used whole. An n-gram has
+    a vector if at least `seen` documents hold it and its shares under the two labels differ by
+    `apart` standard errors."""
 
-    rows: int = 6000
+    rows: int = 20_000
+    seen: int = 5
+    apart: float = 4.0
     dimensions: int = 8
-    epochs: int = 12
+    epochs: int = 10
+    steps: int = 800  # at least, on a small sample
     batch: int = 64
-    rate: float = 0.03
+    rate: float = 0.1
     decay: float = 1e-5
     seed: int = 7
 
@@ -88,27 +94,51 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, in_training: Column
 def fit(docs: DataFrame, labels: DataFrame, in_training: Column, training: Training = Training()) -> Model:
     """Learn from rows of `labels.toxic` for which `in_training` (on doc_id) holds."""
 
+    sample = staged(labelled(docs, labels, "toxic", in_training, training.rows), "sample")
+
+    def seen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = np.zeros((2, BUCKETS), dtype=np.int64)
+        for batch in batches:
+            for text, label in zip(batch["text"], batch["label"]):
+                held[label, bag(text)[0]] += 1
+        bucket = np.flatnonzero(held.any(0))
+        yield pd.DataFrame({"bucket": bucket, "n0": held[0, bucket], "n1": held[1, bucket]})
+
+    totals = sample.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("n1")).first()
+    with_it, without = max(totals.n1, 1), max(totals.n - totals.n1, 1)
+    share = (F.col("n0") + F.col("n1")) / max(totals.n, 1)
+    error = F.sqrt(share * (1 - share) * (1 / with_it + 1 / without)) + 1e-9
+    differs = F.abs(F.col("n1") / with_it - F.col("n0") / without) >= training.apart * error
+    counts = sample.mapInPandas(seen, "bucket int, n0 long, n1 long").groupBy("bucket")
+    counts = counts.agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    kept = counts.filter((F.col("n0") + F.col("n1") >= training.seen) & differs).select("bucket")
+    known = np.zeros(BUCKETS, dtype=bool)
+    known[kept.toPandas()["bucket"].to_numpy().astype(np.int64)] = True
+    shared = docs.sparkSession.sparkContext.broadcast(known)
+
     def bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             both = [bag(text) for text in batch["text"]]
+            keep = [shared.value[buckets] for buckets, _ in both]
             yield pd.DataFrame(
                 {
                     "doc_id": batch["doc_id"],
                     "label": batch["label"],
-                    "buckets": [b.tobytes() for b, _ in both],
-                    "shares": [s.tobytes() for _, s in both],
+                    "buckets": [b[k].tobytes() for (b, _), k in zip(both, keep)],
+                    "shares": [s[k].tobytes() for (_, s), k in zip(both, keep)],
                 }
             )
 
-    rows = labelled(docs, labels, "toxic", in_training, training.rows)
     schema = "doc_id long, label int, buckets binary, shares binary"
-    found = sorted(rows.mapInPandas(bags, schema).toLocalIterator(), key=lambda r: (r.doc_id, bytes(r.buckets)))
-    return learn(
+    found = sample.mapInPandas(bags, schema).toLocalIterator()
+    found = sorted(found, key=lambda r: (r.doc_id, bytes(r.buckets)))
+    model = learn(
         [np.frombuffer(r.buckets, np.int32) for r in found],
         [np.frombuffer(r.shares, np.float32) for r in found],
         np.array([r.label for r in found], np.float32),
         training,
     )
+    return Model(np.where(known, model.subword, 0).astype(np.float32), model.bias)
 
 
 def learn(buckets: list, shares: list, labels: np.ndarray, training: Training) -> Model:
@@ -125,8 +155,9 @@ def learn(buckets: list, shares: list, labels: np.ndarray, training: Training) -
     parameters = [vectors, softmax, offsets]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in parameters]
     step = 0
-    for epoch in range(training.epochs):
-        rate = training.rate * (1 - epoch / training.epochs)
+    epochs = max(training.epochs, training.steps * training.batch // len(labels))
+    for epoch in range(epochs):
+        rate = training.rate * (1 - epoch / epochs)
         order = rng.permutation(len(labels))
         for at in range(0, len(order), training.batch):
             rows = order[at : at + training.batch]
@@ -178,19 +209,26 @@ class WordScores(dict):
         return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """Add `score` (0 to 1, higher: likelier toxic) and `predicted` to `doc_id` and `text`.
-
-    Null and empty texts get the score of the bias alone; null or repeated ids and repeated rows
-    are scored as any other; an empty table stays empty; other columns take no part.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def scorer(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
+    """A function of a text column: its score, 0 to 1, higher where toxic is likelier. A null or
+    empty text gets the score of the bias alone."""
+    shared = spark.sparkContext.broadcast(model)
 
-    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("double")
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         words = WordScores(shared.value)
-        for batch in batches:
-            scores = np.array([words.score(text) for text in batch.pop("text")], dtype=float)
-            batch["doc_id"] = batch["doc_id"].astype("Int64")
-            yield batch.assign(score=scores, predicted=(scores >= 0.5).astype("int32"))
+        for texts in batches:
+            yield pd.Series([words.score(text) for text in texts], dtype="float64")
+
+    return lambda text: scored(F.coalesce(text, F.lit("")))
+
 
-    return documents(docs).mapInPandas(scored, "doc_id long, score double, predicted int")
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """`doc_id`, `score` and `predicted` (1 if the score is 0.5 or more) for every row.
+
+    Null or repeated ids and repeated rows are scored as any other; an empty table stays empty;
+    other columns take no part.
+    """
+    scored = scorer(docs.sparkSession, model)(F.col(TEXT)).alias("score")
+    rows = documents(docs).select(DOC_ID, scored)
+    return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
