@@ -1,12 +1,68 @@
-"""The corpus pipeline: stages over `documents`, each written as Parquet and read by the next."""
+"""The corpus pipeline: stages over `documents`, each written as Parquet and read by the next.
+
+A stage takes what the one before kept. All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sedimenta.llm import ngram_join, packing, quality, suffixes, toxicity
 from sedimenta.llm.common import read, staged
 
-STAGES: list = []
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that a model of `labels.toxic`, learned from labelled ones, does not reject."""
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"), F.lit(True))
+    return docs.filter(toxicity.scorer(spark, model)(F.col("text")) < 0.5)
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that a model of `labels.quality`, learned from labelled ones, accepts."""
+    model = quality.fit(docs, read(spark, sf_dir, "labels"), F.lit(True))
+    return docs.filter(quality.scorer(spark, model)(F.col("text")) >= 0.5)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones: that with the smallest doc_id. Rows that share
+    a doc_id are one document; rows without one stay."""
+    classes = ngram_join.join_classes(docs)
+    copies = classes.filter("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that a document with a smaller doc_id also holds."""
+    cut = suffixes.remove_repeats(docs, carry=docs.columns)
+    # A passage may end within a character; what is left of one is dropped.
+    kept = F.col("kept").cast("string")
+    halves = F.regexp_replace(F.make_valid_utf8(kept), "\ufffd", "")
+    cut = cut.withColumn("_cut", F.coalesce(F.try_validate_utf8(kept), halves))
+    columns = []
+    for name in docs.columns:
+        value = F.col("carried")[name]
+        if name == "text":
+            value = F.when(F.col("n_removed") > 0, F.col("_cut")).otherwise(value)
+        elif name == "n_chars":
+            value = F.when(F.col("n_removed") > 0, F.length("_cut")).otherwise(value)
+        columns.append(value.cast(docs.schema[name].dataType).alias(name))
+    return cut.select(*columns)
+
+
+def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their places in sequences of at most 4096 tokens."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("quality", keep_good),
+    ("near_copies", drop_near_copies),
+    ("repeats", cut_repeats),
+    ("packing", pack_tokens),
+]
 
 # The classifiers are trained in numpy, which SQL cannot express.
 ORACLE_SQL = None
