@@ -185,8 +185,9 @@ def _set_rows(docs: DataFrame, frequency) -> DataFrame:
 
 
 def _prefixes(sets: DataFrame) -> DataFrame:
-    """(token, node, n) for a quarter of each set's n-grams and one more, the rare ones: two sets
-    that are similar meet there, as each holds three quarters of the larger one."""
+    """(token, node, n, at) for a quarter of each set's n-grams and one more, the rare ones, with
+    their places: two sets that are similar meet there, as each holds three quarters of the
+    larger one."""
     n = F.col("n")
     length = (n - F.ceil(n * SIMILAR / OUT_OF) + 1).cast("int")
 
@@ -196,11 +197,12 @@ def _prefixes(sets: DataFrame) -> DataFrame:
             if lists:
                 each = [len(x) for x in lists]
                 token = np.concatenate(lists)
-                yield pd.DataFrame(
-                    {"token": token, "node": np.repeat(batch["node"], each), "n": np.repeat(batch["n"], each)}
-                )
+                at = segment_ranges(np.zeros(len(each), np.int64), np.array(each))
+                of = {c: np.repeat(batch[c].to_numpy(), each) for c in ("node", "n")}
+                yield pd.DataFrame({"token": token, **of, "at": at})
 
-    return sets.withColumn("length", length).mapInPandas(rows, "token long, node long, n long")
+    schema = "token long, node long, n long, at long"
+    return sets.withColumn("length", length).mapInPandas(rows, schema)
 
 
 def walk(probe: np.ndarray, partners: list[np.ndarray], step: int = 64) -> list[bool]:
@@ -273,8 +275,16 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return staged(links, "links")
 
 
-def _compatible(a: Column, b: Column) -> Column:
-    return F.least(a, b) * OUT_OF >= F.greatest(a, b) * SIMILAR
+def _may_link(n: Column, at: Column, o_n: Column, o_at: Column) -> Column:
+    """Whether two sets that share the n-gram at these places, and none before, can be similar:
+    what follows must hold the overlap needed. A pair that fails at its first common n-gram fails
+    at all later ones, so every pair that can be similar passes somewhere."""
+    return F.least(n - at, o_n - o_at) * (SIMILAR + OUT_OF) >= (n + o_n) * SIMILAR
+
+
+# In a pair that may link, the n-gram stands within the first seventh of the smaller set: what
+# follows it must hold 3/7 of both sets together.
+_EARLY = "at * 7 <= n"
 
 
 def join_classes(docs: DataFrame) -> DataFrame:
@@ -308,38 +318,48 @@ def join_classes(docs: DataFrame) -> DataFrame:
     # Sizes in one band are compatible, so each member may be compared with the band's leader.
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(OUT_OF / SIMILAR)))
     banded = shared.withColumn("band", band)
-    leaders = banded.groupBy("token", "band").agg(F.min(F.struct("node", "n")).alias("leader"))
-    led = banded.join(leaders, ["token", "band"]).select(
-        F.col("leader.node").alias("probe"), F.col("node").alias("partner")
+    leader = F.min(F.struct("node", "n", "at")).alias("leader")
+    leaders = banded.filter(_EARLY).groupBy("token", "band").agg(leader)
+    led = banded.join(leaders, ["token", "band"]).filter(
+        (F.col("node") != F.col("leader.node"))
+        & _may_link(F.col("n"), F.col("at"), F.col("leader.n"), F.col("leader.at"))
     )
-    pairs = staged(led.filter("probe <> partner").distinct(), "led")
+    led = led.select(F.col("leader.node").alias("probe"), F.col("node").alias("partner"))
+    pairs = staged(led.distinct(), "led")
     links = _verified(pairs, sets)
     classes = components(links, "probe", "partner")
 
     # N-grams whose documents stand in several classes: all but the largest class there are
     # compared with everything in other classes.
-    known = classes.select(F.col("node"), "component")
-    members = shared.join(known, "node", "left").select(
-        "token", "node", "n", F.coalesce("component", "node").alias("class")
+    members = shared.join(classes, "node", "left").select(
+        "token", "node", "n", "at", F.coalesce("component", "node").alias("class")
     )
-    members = staged(members.distinct(), "members")
+    members = staged(members, "members")
     per_class = members.groupBy("token", "class").agg(F.count(F.lit(1)).alias("size"))
     split = per_class.groupBy("token").agg(
         F.max(F.struct("size", "class"))["class"].alias("largest"), F.count(F.lit(1)).alias("classes")
     )
     split = members.join(split.filter("classes > 1"), "token")
-    some = split.filter(F.col("class") != F.col("largest")).select("token", "node", "n", "class")
-    other = split.select("token", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "class")])
-    across = some.join(other, "token").filter(
-        (F.col("class") != F.col("o_class")) & _compatible(F.col("n"), F.col("o_n"))
-    )
-    across = across.select(
-        F.least("node", "o_node").alias("probe"), F.greatest("node", "o_node").alias("partner")
-    ).distinct()
+    rest = F.col("class") != F.col("largest")
+    names = ("node", "n", "at", "class")
+    other = split.select("token", "largest", *[F.col(c).alias(f"o_{c}") for c in names])
+
+    def across(small: DataFrame, large: DataFrame) -> DataFrame:
+        small, large = small.select("token", *names), large.select("token", *[f"o_{c}" for c in names])
+        met = small.join(large, "token").filter(
+            (F.col("n") <= F.col("o_n"))
+            & (F.col("class") != F.col("o_class"))
+            & _may_link(*[F.col(c) for c in ("n", "at", "o_n", "o_at")])
+        )
+        least, most = F.least("node", "o_node"), F.greatest("node", "o_node")
+        return met.select(least.alias("probe"), most.alias("partner"))
+
+    early, others = split.filter(_EARLY), other.filter(F.col("o_class") != F.col("largest"))
+    more = across(early.filter(rest), other).unionByName(across(early.filter(~rest), others))
     tested = pairs.select(
         F.least("probe", "partner").alias("probe"), F.greatest("probe", "partner").alias("partner")
     )
-    more = _verified(across.join(tested, ["probe", "partner"], "left_anti"), sets)
+    more = _verified(more.distinct().join(tested, ["probe", "partner"], "left_anti"), sets)
     if not more.isEmpty():
         classes = components(links.unionByName(more), "probe", "partner")
 

@@ -63,19 +63,26 @@ def subwords(word: str) -> list[int]:
     return [zlib.crc32(g.encode("utf-8", "replace")) % BUCKETS for g in grams]
 
 
-def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
+class Subwords(dict):
+    """Buckets of words, worked out once and kept within a bound."""
+
+    def __missing__(self, word: str) -> np.ndarray:
+        if len(self) > CACHE_ENTRIES:
+            self.clear()
+        self[word] = found = np.array(subwords(word), np.int32)
+        return found
+
+
+def bag(text: str, known: Subwords) -> tuple[np.ndarray, np.ndarray]:
     """A text as a mean over words of means over their subwords: buckets and their shares."""
     counts = Counter(WORD.findall(text.lower()))
     if not counts:
         return np.empty(0, np.int32), np.empty(0, np.float32)
-    total = sum(counts.values())
-    buckets, shares = [], []
-    for word, count in counts.items():
-        own = subwords(word)
-        buckets += own
-        shares += [count / total / len(own)] * len(own)
-    found, place = np.unique(np.array(buckets, np.int32), return_inverse=True)
-    return found, np.bincount(place, shares).astype(np.float32)
+    buckets = [known[word] for word in counts]
+    sizes = np.fromiter(map(len, buckets), np.int64, len(buckets))
+    weight = np.fromiter(counts.values(), np.float64, len(sizes)) / (counts.total() * sizes)
+    found, place = np.unique(np.concatenate(buckets), return_inverse=True)
+    return found, np.bincount(place, np.repeat(weight, sizes)).astype(np.float32)
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, in_training: Column, rows: int) -> DataFrame:
@@ -97,10 +104,10 @@ def fit(docs: DataFrame, labels: DataFrame, in_training: Column, training: Train
     sample = staged(labelled(docs, labels, "toxic", in_training, training.rows), "sample")
 
     def seen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = np.zeros((2, BUCKETS), dtype=np.int64)
+        held, words = np.zeros((2, BUCKETS), dtype=np.int64), Subwords()
         for batch in batches:
             for text, label in zip(batch["text"], batch["label"]):
-                held[label, bag(text)[0]] += 1
+                held[label, bag(text, words)[0]] += 1
         bucket = np.flatnonzero(held.any(0))
         yield pd.DataFrame({"bucket": bucket, "n0": held[0, bucket], "n1": held[1, bucket]})
 
@@ -117,8 +124,9 @@ def fit(docs: DataFrame, labels: DataFrame, in_training: Column, training: Train
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words = Subwords()
         for batch in batches:
-            both = [bag(text) for text in batch["text"]]
+            both = [bag(text, words) for text in batch["text"]]
             keep = [shared.value[buckets] for buckets, _ in both]
             yield pd.DataFrame(
                 {
