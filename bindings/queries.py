@@ -371,7 +371,7 @@ def report_status_share(spark, sf):
 def revenue_from_raw(spark, sf):
     """Dirty extracts to monthly revenue in one plan: clean, check, model, aggregate."""
     return questions.monthly_revenue(
-        model.fact_sales(clean_orders(spark, sf), clean_products(spark, sf), ["order_id"])
+        model.fact_sales(clean_orders(spark, sf), clean_products(spark, sf))
     )
 
 

@@ -248,20 +248,9 @@ STAGE_ORDERS = _select(
 _TABLES = ("nation", "customer", "part", "orders", "lineitem")
 
 
-# Below this size a scan is not worth spreading.
-_SMALL = 4 * 1024 * 1024
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A benchmark table. Each is one file with one row group, which one task must read; the rows
-    of a larger one are spread over the cores, by its unique or nearly unique first column, where
-    the scan has fewer partitions than cores. Tables of many files are never shuffled here."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    large = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() > _SMALL
-    if large and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, df.columns[0])
-    return df
+    """A benchmark table, as its files are split."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def derive(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:

@@ -14,9 +14,6 @@ NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 _ORDINARY = r"^\s*[+-]?(\d{1,200}\.?\d*|\.\d+)([eE][+-]?\d\d?)?\s*$"
 _DIGITS = r"^\s*[+-]?\d{1,18}\s*$"
 
-# Amounts below this bound are summed as exact decimals.
-_EXACT_BOUND = 1e18
-
 
 def to_number(text: Column) -> Column:
     """Numeric text to double; junk, empty text and overflow to null."""
@@ -49,7 +46,7 @@ def in_range(value: Column, low: float, high: float) -> Column:
 
 def positive_or_zero(value: Column) -> Column:
     """Missing, invalid and non-positive numbers become 0."""
-    return F.greatest(F.nanvl(value, F.lit(0.0)), F.lit(0.0))
+    return F.when((value > 0) & ~F.isnan(value), value).otherwise(F.lit(0.0))
 
 
 def cents(value: Column) -> Column:
@@ -65,9 +62,10 @@ def repair_quantity(quantity: Column, total: Column, unit_price: Column) -> Colu
 
 def _rounded(value: Column, places: int) -> Column:
     """Half away from zero on the decimal value, so 123.44499999999999 from binary noise
-    still rounds as 123.445. Magnitudes a decimal(18) cannot hold are rounded as doubles."""
-    exact = value.try_cast(f"decimal(18,{places + 4})")
-    return F.coalesce(F.round(exact, places).cast("double"), F.round(value, places))
+    still rounds as 123.445. The decimal is wide enough for every double that has a fraction;
+    larger ones are whole already."""
+    exact = F.round(value.try_cast(f"decimal(38,{places + 4})"), places)
+    return F.coalesce(exact.cast("double"), value)
 
 
 def money(value: Column) -> Column:
@@ -79,15 +77,9 @@ def fraction(value: Column) -> Column:
 
 
 def money_sum(amount: Column) -> Column:
-    """Sum of amounts that already have two decimals, the same for any row order.
-
-    Exact decimals are summed, so partial sums may be combined in any order; the rare amounts
-    too large for them are added as doubles rather than lost.
-    """
-    ordinary = F.abs(amount) < _EXACT_BOUND
-    exact = F.sum(F.when(ordinary, amount).try_cast("decimal(20,2)")).cast("double")
-    huge = F.sum(F.when(~ordinary, amount))
-    return F.coalesce(exact + huge, exact, huge)
+    """Sum of amounts, the same for any row order: exact decimals throughout. What no decimal
+    with cents can hold (1e36 and more) is no amount and counts as missing."""
+    return F.try_sum(amount.try_cast("decimal(38,2)")).cast("double")
 
 
 def margin(price: Column, cost: Column) -> Column:

@@ -1,8 +1,10 @@
 """Joins from a child table to parents that are unique on their key, and integrity reports.
 
-A parent below the session's broadcast threshold is joined in place. Beyond it both sides are
-shuffled, and a key that owns a large share of the child (one customer with a third of all
-orders) would end up in one task. `lookup` cuts such keys into slices first.
+Every lookup is one plain join with the child on the left, whatever the sizes. Spark broadcasts a
+parent whose measured size allows it; beyond that both sides are shuffled, and a key that owns a
+large share of the child, or rows without a key, make a large partition that adaptive execution
+splits over many tasks, repeating the parent's few rows (`spark.sql.adaptive.skewJoin` and
+`forceOptimizeSkewedJoin`, set in `sedimenta.session`).
 """
 
 from __future__ import annotations
@@ -13,15 +15,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.operators.rows import drop_null_keys
-
-# A key is hot when it holds more than 1/SLICES of the rows, so there are fewer than SLICES hot
-# keys and fewer than 2 * SLICES slices, whatever the size of the data.
-SLICES = 1024
-
-_SALT = "_salt"
-_SLICES = "_slices"
-
 # Reasons given for a rejected row.
 NO_CUSTOMER = "CLIENTE INEXISTENTE"
 NO_PRODUCT = "PRODUCTO INEXISTENTE"
@@ -40,94 +33,34 @@ class Parent:
         return self.rows.select(F.col(self.key).alias(self.foreign))
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the optimizer's size estimate lies under the session's broadcast threshold."""
-    session = df.sparkSession._jsparkSession.sessionState()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return size <= session.conf().autoBroadcastJoinThreshold()
-
-
-def hot_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Keys with more than 1/SLICES of the rows, and how many slices each should be cut into."""
-    counts = drop_null_keys(df, on).groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
-    share = F.col("n") * SLICES / counts.agg(F.sum("n")).scalar()
-    return counts.filter(share > 1).select(*on, F.ceil(share).cast("int").alias(_SLICES))
-
-
-def lookup(
-    child: DataFrame,
-    parent: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    spread: Sequence[str] | None = None,
-    hot: DataFrame | None = None,
-) -> DataFrame:
+def lookup(child: DataFrame, parent: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Join `child` to `parent`, which is unique on `on` (semi and anti joins take any parent).
-
-    With a parent too large to broadcast, rows of a hot key are spread over slices by a hash of
-    `spread` (the child's own key; by default all its columns) and the parent's row for that key
-    is repeated once per slice. Rows without a key match nothing and are spread too. The hash
-    depends on the row alone, so a retried task sends every row where it went before. `hot`
-    may come from any cheap stand-in for the child, such as its unfiltered input: it decides
-    where rows travel, never what the result is.
-    """
+    Rows without a key match nothing."""
     on = list(on)
     if how in ("left_semi", "left_anti"):
-        parent = parent.select(*on)
-        columns = child.columns
-    else:
-        columns = child.columns + [c for c in parent.columns if c not in on]
-    if fits_broadcast(parent):
-        return child.join(parent, on, how).select(*columns)
-
-    # Fewer than SLICES rows by the definition of a hot key: safe to broadcast at any scale.
-    hot = F.broadcast(hot_keys(child, on) if hot is None else hot)
-    has_key = F.lit(True)
-    for key in on:
-        has_key = has_key & F.col(key).isNotNull()
-    slices = F.when(has_key, F.coalesce(F.col(_SLICES), F.lit(1))).otherwise(F.lit(SLICES))
-    salt = F.pmod(F.xxhash64(*(spread or child.columns)), slices).cast("int")
-    salted_child = child.join(hot, on, "left").withColumn(_SALT, salt)
-    copies = F.sequence(F.lit(0), F.coalesce(F.col(_SLICES), F.lit(1)) - 1)
-    salted_parent = parent.join(hot, on, "left").withColumn(_SALT, F.explode(copies))
-    return (
-        salted_child.drop(_SLICES)
-        .join(salted_parent.drop(_SLICES), [*on, _SALT], how)
-        .select(*columns)
-    )
+        return child.join(parent.select(*on), on, how).select(*child.columns)
+    more = [c for c in parent.columns if c not in on]
+    return child.join(parent, on, how).select(*child.columns, *more)
 
 
-def referential_filter(
-    child: DataFrame,
-    parents: Sequence[Parent],
-    spread: Sequence[str] | None = None,
-    hot_source: DataFrame | None = None,
-) -> DataFrame:
+def referential_filter(child: DataFrame, parents: Sequence[Parent]) -> DataFrame:
     """Rows whose every reference exists; a null reference does not."""
     for parent in parents:
-        hot = None if hot_source is None else hot_keys(hot_source, [parent.foreign])
-        child = lookup(child, parent.keys(), [parent.foreign], "left_semi", spread, hot)
+        child = lookup(child, parent.keys(), [parent.foreign], "left_semi")
     return child
 
 
-def orphans(
-    child: DataFrame, parent: Parent, spread: Sequence[str] | None = None
-) -> DataFrame:
+def orphans(child: DataFrame, parent: Parent) -> DataFrame:
     """Rows whose reference is missing from the parent or null."""
-    return lookup(child, parent.keys(), [parent.foreign], "left_anti", spread)
+    return lookup(child, parent.keys(), [parent.foreign], "left_anti")
 
 
-def orphan_report(
-    child: DataFrame,
-    customer: Parent,
-    product: Parent,
-    spread: Sequence[str] | None = None,
-) -> DataFrame:
+def orphan_report(child: DataFrame, customer: Parent, product: Parent) -> DataFrame:
     """Rows `referential_filter` would reject, with the reason, in one pass over the child."""
     columns = child.columns
     for flag, parent in (("_customer", customer), ("_product", product)):
         known = parent.keys().distinct().withColumn(flag, F.lit(True))
-        child = lookup(child, known, [parent.foreign], "left", spread)
+        child = lookup(child, known, [parent.foreign])
     no_customer, no_product = F.col("_customer").isNull(), F.col("_product").isNull()
     return child.filter(no_customer | no_product).select(
         *columns, orphan_reason(no_customer, no_product).alias("motivo")

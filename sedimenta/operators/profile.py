@@ -127,7 +127,7 @@ def dq_checks(
     child, rules = df, dict(rules)
     for i, (name, parent) in enumerate(parents.items()):
         known = parent.keys().distinct().withColumn(f"_known_{i}", F.lit(True))
-        child = lookup(child, known, [parent.foreign], "left", [key])
+        child = lookup(child, known, [parent.foreign])
         rules[name] = F.col(f"_known_{i}").isNull()
     repeated = drop_null_keys(df, [key]).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     return count_violations(child, rules).unionByName(

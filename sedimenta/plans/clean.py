@@ -130,16 +130,7 @@ def clean_orders(
     unique = keep_first(orders, ["order_id"])
     if customers is None or products is None:
         return unique
-    # References with most rows are found in the raw scan, so that does not repeat the dedup.
-    references = raw.select(
-        *[to_integer(col(c)).alias(c) for c in ("customer_id", "product_id")]
-    )
-    return referential_filter(
-        unique,
-        order_parents(customers, products),
-        spread=["order_id"],
-        hot_source=references,
-    )
+    return referential_filter(unique, order_parents(customers, products))
 
 
 def order_parents(customers: DataFrame, products: DataFrame) -> list[Parent]:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,12 +47,10 @@ def dim_product(products: DataFrame) -> DataFrame:
     )
 
 
-def fact_sales(
-    orders: DataFrame, products: DataFrame, spread: Sequence[str] | None = None
-) -> DataFrame:
+def fact_sales(orders: DataFrame, products: DataFrame) -> DataFrame:
     """One row per order row with its measures; an unknown product gives null cost and profit.
 
-    All statuses are kept. `spread` names the key of `orders` (see `lookup`).
+    All statuses are kept.
     """
     costs = products.select(
         "product_id",
@@ -65,7 +61,7 @@ def fact_sales(
     discount = F.coalesce(col("discount_pct"), F.lit(0.0))
     net = gross * (1 - discount / 100)
     cost = col("quantity") * col("unit_cost_usd")
-    return lookup(orders, costs, ["product_id"], "left", spread).select(
+    return lookup(orders, costs, ["product_id"]).select(
         "order_id",
         "customer_id",
         "product_id",
@@ -89,20 +85,11 @@ def fact_sales(
     )
 
 
-def report_view(
-    fact: DataFrame,
-    products: DataFrame,
-    customers: DataFrame,
-    spread: Sequence[str] | None = None,
-) -> DataFrame:
-    """Every sale with the names and attributes of its product and customer."""
-    named = lookup(
-        fact, products.select("product_id", "product_name"), ["product_id"], "left", spread
-    )
-    buyers = customers.select("customer_id", "nombre_completo", "city", "loyalty_tier")
-    return lookup(named, buyers, ["customer_id"], "left", spread).select(
-        *REPORT_VIEW.fieldNames()
-    )
+def report_view(fact: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
+    """Every sale with the names and attributes of its product and customer: the plan of the
+    deployed view."""
+    inputs = {"fact": fact, "products": products, "customers": customers}
+    return fact.sparkSession.sql(report_view_sql("{fact}", "{products}", "{customers}"), **inputs)
 
 
 def report_view_sql(fact: str, products: str, customers: str) -> str:

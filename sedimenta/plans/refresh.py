@@ -8,8 +8,8 @@ harm. Rows are never brought to the driver.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterable, Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Collection, Iterable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,30 +51,37 @@ class Layers:
 
 @dataclass(frozen=True)
 class Step:
-    """One table loaded: rows in it afterwards and the seconds the load took."""
+    """One table loaded: rows in it afterwards, the seconds the load took, and for a stage table
+    what became of the rows of this load (see `load_counts`)."""
 
     stage: str
     table: str
     rows: int
     seconds: float
+    counts: Mapping[str, int] = field(default_factory=dict)
 
 
-def _timed(stage: str, table: str, load: Callable[[], DataFrame]) -> Step:
+def _timed(stage: str, table: str, load: Callable[[], DataFrame], counts=None) -> Step:
     began = time.monotonic()
     # A count of a Parquet table is answered from its footers.
     rows = load().count()
-    return Step(stage, table, rows, time.monotonic() - began)
+    return Step(stage, table, rows, time.monotonic() - began, counts or {})
 
 
 def ingest(
-    spark: SparkSession, sources: Mapping[str, str], landing: str, layers: Layers = Layers()
+    spark: SparkSession,
+    sources: Mapping[str, str],
+    landing: str,
+    layers: Layers = Layers(),
+    single_line: Collection[str] = (),
 ) -> list[Step]:
-    """Archive each input under its load time, then replace its raw table."""
+    """Archive each input as it arrived under its load time, then replace its raw table. Sources
+    named in `single_line` have no line breaks inside quotes, so large files of them are split."""
     ensure_database(spark, layers.raw)
 
     def load(name: str, path: str) -> DataFrame:
-        text = csv.read_text(spark, path)
-        csv.archive(text, landing, name, load_stamp())
+        csv.archive(spark, path, landing, name, load_stamp())
+        text = csv.read_text(spark, path, multi_line=name not in single_line)
         return publish(csv.null_tokens_to_null(text), layers.raw_table(name))
 
     return [
@@ -83,67 +90,55 @@ def ingest(
     ]
 
 
-def merge_stage(batch: DataFrame, spec: TableSpec, layers: Layers = Layers()) -> DataFrame:
-    """Stamp a clean batch, fit it to the declared schema and merge it into its stage table."""
-    rows = conform(stamp(batch, spec.stamp), spec.stage)
-    ensure_table(batch.sparkSession, layers.stage_table(spec.name), spec.stage)
-    return upsert(rows, layers.stage_table(spec.name), spec.key)
+def merge_stage(held: DataFrame, spec: TableSpec, layers: Layers = Layers()) -> DataFrame:
+    """Merge a held batch, already stamped and fitted to the declared schema, into its stage table."""
+    ensure_table(held.sparkSession, layers.stage_table(spec.name), spec.stage)
+    return upsert(held, layers.stage_table(spec.name), spec.key)
+
+
+def load_counts(raw: DataFrame, spec: TableSpec, kept: DataFrame) -> dict[str, int]:
+    """Rows of this load: read, with a usable key, with distinct keys, removed as orphans, kept.
+    Only the key column of the raw table is read; kept rows are counted from the held batch."""
+    found = load_metrics(raw.select(spec.key), to_integer(F.col(spec.key)), kept).collect()
+    counts = {row.step: row.total_rows for row in found}
+    return counts | {"orphans": counts["distinct_keys"] - counts["kept"]}
 
 
 def build_stage(spark: SparkSession, layers: Layers = Layers()) -> list[Step]:
-    """Clean and merge every table; orders are checked against the parents of this load."""
+    """Clean and merge every table; orders are checked against the parents of this load.
+
+    Each batch is written once, and everything that follows reads that copy."""
     ensure_database(spark, layers.stage)
+    steps, held, paths = [], {}, []
 
-    def raw(name: str) -> DataFrame:
-        return spark.table(layers.raw_table(name))
+    def batch(name: str) -> DataFrame:
+        raw = spark.table(layers.raw_table(name))
+        if name == "customers":
+            return clean.clean_customers(raw)
+        if name == "products":
+            return clean.clean_products(raw)
+        return clean.clean_orders(raw, held["customers"], held["products"])
 
-    steps, held = [], {}
     try:
-        for name, clean_rows in (
-            ("customers", clean.clean_customers),
-            ("products", clean.clean_products),
-        ):
-            held[name] = hold(clean_rows(raw(name)), name)
-            rows = held[name][0]
+        for name in ("customers", "products", "orders"):
+            spec = TABLES[name]
+            held[name], path = hold(conform(stamp(batch(name), spec.stamp), spec.stage), name)
+            paths.append(path)
+            counts = load_counts(spark.table(layers.raw_table(name)), spec, held[name])
+            table = layers.stage_table(name)
             steps.append(
-                _timed(
-                    "stage",
-                    layers.stage_table(name),
-                    lambda n=name, r=rows: merge_stage(r, TABLES[n], layers),
-                )
+                _timed("stage", table, lambda n=name: merge_stage(held[n], TABLES[n], layers), counts)
             )
-        customers, products = held["customers"][0], held["products"][0]
-        steps.append(
-            _timed(
-                "stage",
-                layers.stage_table("orders"),
-                lambda: merge_stage(
-                    clean.clean_orders(raw("orders"), customers, products),
-                    TABLES["orders"],
-                    layers,
-                ),
-            )
-        )
     finally:
-        for _, path in held.values():
+        for path in paths:
             release(spark, path)
     return steps
 
 
-def stage_metrics(spark: SparkSession, layers: Layers = Layers()) -> DataFrame:
-    """Rows read, keyed, distinct and in stage, for every table."""
-    metrics = [
-        load_metrics(
-            spark.table(layers.raw_table(name)),
-            to_integer(F.col(spec.key)),
-            spark.table(layers.stage_table(name)),
-        ).withColumn("table_name", F.lit(name))
-        for name, spec in TABLES.items()
-    ]
-    union = metrics[0]
-    for more in metrics[1:]:
-        union = union.unionByName(more)
-    return union.select("table_name", "step", "total_rows")
+def stage_metrics(spark: SparkSession, steps: Iterable[Step]) -> DataFrame:
+    """The counts of the steps of a load as (table_name, step, total_rows)."""
+    rows = [(s.table, step, n) for s in steps for step, n in s.counts.items()]
+    return spark.createDataFrame(rows, "table_name string, step string, total_rows bigint")
 
 
 @dataclass(frozen=True)
@@ -177,7 +172,7 @@ def star_schema(layers: Layers = Layers()) -> list[Model]:
         Model(
             layers.model("fact_venta"),
             lambda s: finished(
-                model.fact_sales(stage(s, "orders"), stage(s, "products"), ["order_id"]),
+                model.fact_sales(stage(s, "orders"), stage(s, "products")),
                 FACT_SALES,
             ),
             ("mes_fecha",),
@@ -214,11 +209,12 @@ def refresh(
     landing: str,
     layers: Layers = Layers(),
     files: Mapping[str, str] = FILES,
+    single_line: Collection[str] = (),
 ) -> list[Step]:
-    """Run the three stages over the files of a folder."""
+    """Run the three stages over the files of a folder; the steps tell what became of the rows."""
     sources = {name: f"{source_folder}/{file}" for name, file in files.items()}
     return [
-        *ingest(spark, sources, landing, layers),
+        *ingest(spark, sources, landing, layers, single_line),
         *build_stage(spark, layers),
         *build_analytics(spark, layers),
     ]

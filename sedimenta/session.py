@@ -10,6 +10,8 @@ SETTINGS = {
     # Runtime re-planning: joins by measured size, skewed partitions split, small ones merged.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot key's partition even where a later step then has to shuffle once more.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # The JVM never compiles a method above 8,000 bytes. A stage that parses many columns can

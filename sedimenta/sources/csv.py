@@ -29,15 +29,12 @@ NULL_TOKENS = (
 )
 
 INGEST_COLUMN = "ingest_ts"
+_UNFIT = "_unfit_record"
+# Put behind a record to see where its fields end.
+_END = "<\u0001end\u0001>"
 
 
-def read_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """CSV with a header, every column text exactly as written.
-
-    Only the header line is read while planning. Files whose header differs from the first
-    fail the read instead of having their values assigned by position. `multi_line` admits
-    line breaks inside quotes, at the price of one task per file.
-    """
+def _reader(spark: SparkSession, multi_line: bool):
     return (
         spark.read.option("header", True)
         .option("quote", '"')
@@ -45,33 +42,53 @@ def read_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataF
         .option("encoding", "UTF-8")
         .option("enforceSchema", False)
         .option("multiLine", multi_line)
-        .csv(path)
     )
 
 
+def read_text(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """CSV with a header, every column text exactly as written.
+
+    Only the header is read while planning. Files whose header differs from the first fail the
+    read instead of having their values assigned by position, and so does a record with more
+    fields than the header, with the record in the message; missing last fields are null. Line
+    breaks inside quotes are part of a value; that takes one task per file, so a source that has
+    none may turn `multi_line` off to have large files split.
+    """
+    columns = _reader(spark, multi_line).csv(path).columns
+    names = [f"`{c}`" for c in columns]
+    schema = ", ".join(f"{name} string" for name in [*names, _UNFIT])
+    rows = _reader(spark, multi_line).schema(schema).option("columnNameOfCorruptRecord", _UNFIT).csv(path)
+    # Only records that do not have as many fields as the header are parsed once more: the mark
+    # behind a record that is no longer than the header is one of its first fields.
+    places = [f"f{i}" for i in range(len(columns) + 1)]
+    fields = ", ".join(f"{place} string" for place in places)
+    marked = F.concat(F.col(_UNFIT), F.lit(f",{_END}"))
+    parsed = F.from_csv(marked, fields, {"quote": '"', "escape": '"', "mode": "PERMISSIVE"})
+    ends = F.coalesce(F.array_contains(F.array(*[parsed[p] for p in places]), _END), F.lit(False))
+    surplus = ~ends
+    refuse = F.raise_error(F.concat(F.lit("record with more fields than the header: "), F.col(_UNFIT)))
+    fits = F.when(F.col(_UNFIT).isNotNull() & surplus, refuse.cast("boolean")).otherwise(F.lit(True))
+    return rows.filter(fits).select(*names)
+
+
 def null_tokens_to_null(df: DataFrame) -> DataFrame:
     return df.select(
         *[F.when(~F.col(f"`{c}`").isin(*NULL_TOKENS), F.col(f"`{c}`")).alias(c) for c in df.columns]
     )
 
 
-def scan_raw(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def scan_raw(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """The raw layer's scan: all text, the usual tokens for "missing" turned into null."""
     return null_tokens_to_null(read_text(spark, path, multi_line))
 
 
-def archive(df: DataFrame, landing: str, table: str, ingest_ts: str) -> str:
-    """Append an input, as read, under its load time; earlier loads stay. Returns the path."""
-    (
-        df.withColumn(INGEST_COLUMN, F.lit(ingest_ts))
-        .write.mode("append")
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("encoding", "UTF-8")
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .partitionBy(INGEST_COLUMN)
-        .csv(f"{landing}/{table}")
-    )
-    return f"{landing}/{table}/{INGEST_COLUMN}={ingest_ts}"
+def archive(spark: SparkSession, path: str, landing: str, table: str, ingest_ts: str) -> str:
+    """Keep an input as it arrived, line by line, in a folder of its load; returns that folder.
+
+    Lines are copied by tasks, without being parsed; a large file becomes several parts, whose
+    names give their order. Earlier loads stay, and a load time that exists already is refused.
+    """
+    folder = f"{landing}/{table}/{INGEST_COLUMN}={ingest_ts}"
+    lines = spark.read.option("lineSep", "\n").text(path).select("value")
+    lines.write.mode("errorifexists").option("lineSep", "\n").text(folder)
+    return folder

@@ -14,14 +14,15 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from sedimenta.operators.upsert import merge_rows, require_unique
+from sedimenta.operators.upsert import merge_native, merge_rows, require_unique
 
 _VERSION_PROPERTY = "current_version"
+_PREVIOUS_PROPERTY = "previous_version"
 _SEPARATOR = "__v"
 
 
 def load_stamp() -> str:
-    return datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")
+    return datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S_%f")
 
 
 def _unique() -> str:
@@ -33,12 +34,15 @@ def ensure_database(spark: SparkSession, database: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
 
+def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+    if not spark.catalog.tableExists(name):
+        return {}
+    return {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+
+
 def current_version(spark: SparkSession, name: str) -> str | None:
     """The Parquet table behind a layer table, or None before its first load."""
-    if not spark.catalog.tableExists(name):
-        return None
-    properties = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
-    return {row.key: row.value for row in properties}.get(_VERSION_PROPERTY)
+    return _properties(spark, name).get(_VERSION_PROPERTY)
 
 
 def publish(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -58,23 +62,17 @@ def publish(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataF
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(version)
 
-    previous = current_version(spark, name)
-    spark.sql(
-        f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{_VERSION_PROPERTY}' = '{version}') "
-        f"AS SELECT * FROM {version}"
-    )
-    _drop_versions(spark, name, keep={version, previous})
+    properties = _properties(spark, name)
+    previous = properties.get(_VERSION_PROPERTY)
+    told = {_VERSION_PROPERTY: version} | ({_PREVIOUS_PROPERTY: previous} if previous else {})
+    listed = ", ".join(f"'{key}' = '{value}'" for key, value in told.items())
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ({listed}) AS SELECT * FROM {version}")
+    # Only a version that was published goes; one that another load is writing is not known here.
+    if outdated := properties.get(_PREVIOUS_PROPERTY):
+        spark.sql(f"DROP TABLE IF EXISTS {outdated}")
     return spark.table(name)
 
 
-def _drop_versions(spark: SparkSession, name: str, keep: set[str | None]) -> None:
-    database, table = name.split(".")
-    for found in spark.catalog.listTables(database, f"{table}{_SEPARATOR}*"):
-        version = f"{database}.{found.name}"
-        if version not in keep:
-            spark.sql(f"DROP TABLE IF EXISTS {version}")
-
-
 def ensure_table(spark: SparkSession, name: str, schema: StructType) -> DataFrame:
     """The table, created empty with an explicit schema when it does not exist."""
     if not spark.catalog.tableExists(name):
@@ -83,10 +81,12 @@ def ensure_table(spark: SparkSession, name: str, schema: StructType) -> DataFram
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Where intermediate results are written: the folder the cluster names, which every
-    executor reaches, or else one beside the tables."""
+    """Where intermediate results are written: the folder of `spark.checkpoint.dir`, which every
+    executor reaches. A session without it cannot hold results."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{named or spark.conf.get('spark.sql.warehouse.dir')}/_held"
+    if not named:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{named}/_held"
 
 
 def hold(df: DataFrame, name: str) -> tuple[DataFrame, str]:
@@ -105,16 +105,25 @@ def release(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
-def upsert(batch: DataFrame, name: str, key: str) -> DataFrame:
-    """Merge `batch` into a layer table by primary key; running it twice changes nothing more.
+def accepts_merge(spark: SparkSession, name: str) -> bool:
+    """Whether a table merges by itself: it is a table, and not one of plain files."""
+    if not spark.catalog.tableExists(name):
+        return False
+    described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    plain = {"parquet", "orc", "csv", "json", "text", "avro", "hive"}
+    return described.get("Type") != "VIEW" and described.get("Provider", "hive").lower() not in plain
+
+
+def upsert(held: DataFrame, name: str, key: str) -> DataFrame:
+    """Merge a held batch into a layer table by primary key; running it twice changes nothing more.
 
-    The batch is held first, as it is read for the uniqueness check, the anti join and the union.
+    A table that accepts MERGE rewrites only what the batch touches. Plain files are replaced by
+    a new version. The batch is read for the uniqueness check, the anti join and the union, so it
+    should be a scan (see `hold`), not a plan that would run again each time.
     """
-    spark = batch.sparkSession
-    target = ensure_table(spark, name, batch.schema)
-    held, path = hold(batch, name)
-    try:
-        require_unique(held, key)
-        return publish(merge_rows(target, held, key), name)
-    finally:
-        release(spark, path)
+    spark = held.sparkSession
+    require_unique(held, key)
+    if accepts_merge(spark, name):
+        merge_native(name, held, key)
+        return spark.table(name)
+    return publish(merge_rows(ensure_table(spark, name, held.schema), held, key), name)

@@ -15,12 +15,14 @@ from sedimenta.session import configure  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     warehouse = tmp_path_factory.mktemp("warehouse")
+    shared = tmp_path_factory.mktemp("shared")
     session = (
         configure(SparkSession.builder.master(os.environ.get("TEST_MASTER", "local[4]")))
         .appName("sedimenta-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.warehouse.dir", str(warehouse))
+        .config("spark.checkpoint.dir", str(shared))
         .config("spark.driver.memory", "4g")
         .getOrCreate()
     )

@@ -126,6 +126,9 @@ def test_guards(spark):
                     [-5.0, 0.0, 120.0, 200.0, None], "double") == [None, 0.0, 120.0, None, None]
     assert evaluate(spark, numbers.positive_or_zero,
                     [-1.0, 0.0, 3.5, float("nan"), None], "double") == [0.0, 0.0, 3.5, 0.0, 0.0]
+    # Text `-0` is 0, not -0.0.
+    zeros = evaluate(spark, lambda c: numbers.cents(numbers.positive_or_zero(c)), [-0.0, 0.0], "double")
+    assert [str(z) for z in zeros] == ["0.0", "0.0"]
     assert evaluate(spark, numbers.whole,
                     [3.0, 3.5, float("inf"), 1e30, None], "double") == [3, None, None, None, None]
 
@@ -166,6 +169,16 @@ def test_names_margins_and_scores(spark):
     assert flat.select(numbers.z_score(F.col("v"), F.col("m"), F.col("s"))).first()[0] is None
 
 
+def test_rounding_is_one_form_at_every_magnitude(spark):
+    values = [4503599627370495.5, 1e12 + 0.125, 1e13 + 0.375, 2e18, -1e25]
+    assert evaluate(spark, numbers.money, values, "double") == [
+        4503599627370495.5, 1e12 + 0.13, 1e13 + 0.38, 2e18, -1e25
+    ]
+    assert evaluate(spark, numbers.fraction, [1e11 + 0.00005, 12345678901.23456], "double") == [
+        100000000000.0001, 12345678901.2346
+    ]
+
+
 def test_sum_of_money_is_exact_and_loses_nothing(spark):
     def total(values):
         df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
@@ -174,4 +187,6 @@ def test_sum_of_money_is_exact_and_loses_nothing(spark):
     assert total([0.1] * 1000 + [None]) == 100.0
     assert total([1e30, 2.5]) == 1e30
     assert total([1e30]) == 1e30
+    assert total([1e18, 0.25, -1e18]) == 0.25
+    assert total([2e18] * 5 + [0.01, -1e19]) == 0.01
     assert total([None]) is None

@@ -1,6 +1,7 @@
 """Text files to star schema in a scratch warehouse: archive, replace, merge, re-run."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -76,16 +77,59 @@ def test_files_with_another_header_are_refused(spark, tmp_path):
         csv.scan_raw(spark, str(tmp_path)).collect()
 
 
-def test_archive_keeps_every_load_as_read(spark, extracts, tmp_path):
-    text = csv.read_text(spark, str(extracts / "customers.csv"))
+def lines_of(folder):
+    parts = sorted(p for p in Path(folder).iterdir() if p.name.startswith("part-"))
+    return b"".join(p.read_bytes() for p in parts).decode("utf-8")
+
+
+def test_archive_keeps_every_load_as_it_arrived(spark, extracts, tmp_path):
     landing = str(tmp_path / "landing")
-    first = csv.archive(text, landing, "customers", "20240101_000000")
-    second = csv.archive(text.limit(1), landing, "customers", "20240102_000000")
+    path = extracts / "customers.csv"
+    path.write_text(path.read_text(encoding="utf-8") + '3,"a\nb",x\r\n4,1,2,3,4,5,6,7,8,9,10,11\n', encoding="utf-8")
+    first = csv.archive(spark, str(path), landing, "customers", "20240101_000000")
     assert first.endswith("customers/ingest_ts=20240101_000000")
-    assert body(csv.scan_raw(spark, first)) == body(csv.null_tokens_to_null(text))
-    assert csv.read_text(spark, second).count() == 1
-    history = csv.read_text(spark, f"{landing}/customers")
-    assert history.groupBy(csv.INGEST_COLUMN).count().count() == 2
+    assert lines_of(first) == path.read_bytes().decode("utf-8")
+    csv.archive(spark, str(path), landing, "customers", "20240102_000000")
+    assert len(list(Path(landing, "customers").iterdir())) == 2
+    with pytest.raises(Exception, match="(?i)exist"):
+        csv.archive(spark, str(path), landing, "customers", "20240101_000000")
+
+
+def test_load_stamps_of_one_second_differ():
+    assert len({tables.load_stamp() for _ in range(50)}) > 1
+
+
+def test_line_breaks_in_quotes_are_read_whole(spark, extracts, tmp_path):
+    names = layers("breaks")
+    landing = tmp_path / "landing"
+    write(extracts, "products", [*PRODUCT_LINES, '12,"two\nlines",Books,1,1,1,ProveedorB,TRUE'])
+    refresh.refresh(spark, str(extracts), str(landing), names)
+    products = {r.product_id: r for r in spark.table(names.raw_table("products")).collect()}
+    assert len(products) == 3 and products["12"].product_name == "two\nlines"
+    (folder,) = (landing / "products").iterdir()
+    assert lines_of(folder) == (extracts / "products.csv").read_bytes().decode("utf-8")
+
+
+@pytest.mark.parametrize("surplus", ["12,n,Books,1,1,1,ProveedorB,TRUE,more", "12,n,Books,1,1,1,ProveedorB,TRUE,"])
+def test_surplus_fields_stop_the_load(spark, extracts, tmp_path, surplus):
+    names = layers(f"surplus_{len(surplus)}")
+    landing = tmp_path / "landing"
+    refresh.refresh(spark, str(extracts), str(landing), names)
+    write(extracts, "products", [*PRODUCT_LINES, surplus])
+    with pytest.raises(Exception, match="more fields than the header: 12,n"):
+        refresh.refresh(spark, str(extracts), str(landing), names)
+    assert spark.table(names.raw_table("products")).count() == 2
+    # The input is kept all the same.
+    newest = sorted((landing / "products").iterdir())[-1]
+    assert lines_of(newest) == (extracts / "products.csv").read_bytes().decode("utf-8")
+
+
+def test_missing_last_fields_are_null(spark, extracts, tmp_path):
+    names = layers("short")
+    write(extracts, "products", [*PRODUCT_LINES, "12,n,Books"])
+    refresh.refresh(spark, str(extracts), str(tmp_path / "landing"), names)
+    row = spark.table(names.raw_table("products")).filter("product_id = 12").first()
+    assert (row.category, row.price_usd, row.active) == ("Books", None, None)
 
 
 def test_refresh_end_to_end_and_again(spark, extracts, tmp_path):
@@ -112,10 +156,12 @@ def test_refresh_end_to_end_and_again(spark, extracts, tmp_path):
     top = questions.top_customers(fact, spark.table(names.model("dim_cliente")))
     assert [tuple(r) for r in top.collect()] == [(1, "ANA GÓMEZ, RUIZ", 1), (2, "LUIS", 1)]
     metrics = {
-        (r.table_name, r.step): r.total_rows for r in refresh.stage_metrics(spark, names).collect()
+        (r.table_name.split(".")[1], r.step): r.total_rows
+        for r in refresh.stage_metrics(spark, steps).collect()
     }
-    assert metrics["orders", "read"] == 5 and metrics["orders", "distinct_keys"] == 4
-    assert metrics["orders", "kept"] == 3 and metrics["customers", "keyed"] == 3
+    assert metrics["orders_stage", "read"] == 5 and metrics["orders_stage", "distinct_keys"] == 4
+    assert metrics["orders_stage", "kept"] == 3 and metrics["orders_stage", "orphans"] == 1
+    assert metrics["customers_stage", "keyed"] == 3
 
     stage_tables = [names.stage_table(n) for n in ("customers", "products", "orders")]
     before = [body(spark.table(t), "stage_updated_at") for t in stage_tables]
@@ -140,7 +186,10 @@ def test_new_extract_updates_inserts_and_never_deletes(spark, extracts, tmp_path
         "101,2,11,4,4.0,16.0,2024.02.01,2024.02.02,completed,cash,,",
         "104,1,11,1,4.0,4.0,2024.03.01,,returned,paypal,5,",
     ])
-    refresh.refresh(spark, str(extracts), landing, names)
+    steps = refresh.refresh(spark, str(extracts), landing, names)
+    counts = {s.table.split(".")[1]: s.counts for s in steps}["orders_stage"]
+    # Of this load alone, though four orders are in the table.
+    assert counts == {"read": 2, "keyed": 2, "distinct_keys": 2, "kept": 2, "orphans": 0}
     orders = {r.order_id: r for r in spark.table(names.stage_table("orders")).collect()}
     assert sorted(orders) == [100, 101, 103, 104]
     assert (orders[101].status, orders[101].quantity) == ("COMPLETED", 4)
@@ -216,8 +265,32 @@ class Session:
 def test_shared_folder_is_the_one_the_cluster_names():
     named = Session(spark_checkpoint_dir="hdfs://shared", spark_sql_warehouse_dir="hdfs://lake")
     assert tables.shared_folder(named) == "hdfs://shared/_held"
-    unset = Session(spark_sql_warehouse_dir="hdfs://lake")
-    assert tables.shared_folder(unset) == "hdfs://lake/_held"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        tables.shared_folder(Session(spark_sql_warehouse_dir="hdfs://lake"))
+
+
+def test_a_load_in_progress_survives_a_publish(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS progress")
+    spark.range(3).write.saveAsTable("progress.t__vINPROGRESS")
+    for n in (1, 2, 3):
+        tables.publish(spark.range(n), "progress.t")
+    assert spark.table("progress.t__vINPROGRESS").count() == 3
+    published = [t.name for t in spark.catalog.listTables("progress") if t.name.startswith("t__v")]
+    assert len(published) == 3  # the current one, the one before, and the one in progress
+
+
+def test_each_batch_is_written_once(spark, extracts, tmp_path, monkeypatch):
+    written = []
+    hold = refresh.hold
+    monkeypatch.setattr(refresh, "hold", lambda df, name: written.append(name) or hold(df, name))
+    refresh.refresh(spark, str(extracts), str(tmp_path / "landing"), layers("once"))
+    assert written == ["customers", "products", "orders"]
+
+
+def test_plain_files_do_not_merge_by_themselves(spark):
+    spark.range(2).write.mode("overwrite").saveAsTable("plain_files")
+    assert not tables.accepts_merge(spark, "plain_files")
+    assert not tables.accepts_merge(spark, "no_such_table")
 
 
 def test_released_results_may_be_gone_already(spark):
