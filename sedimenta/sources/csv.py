@@ -66,7 +66,10 @@ def read_text(spark: SparkSession, path: str, multi_line: bool = True) -> DataFr
     parsed = F.from_csv(marked, fields, {"quote": '"', "escape": '"', "mode": "PERMISSIVE"})
     ends = F.coalesce(F.array_contains(F.array(*[parsed[p] for p in places]), _END), F.lit(False))
     surplus = ~ends
-    refuse = F.raise_error(F.concat(F.lit("record with more fields than the header: "), F.col(_UNFIT)))
+    # Spark refuses plans that read nothing but unfit records, so a count must name a column too.
+    nothing = F.substring(F.coalesce(F.col(names[0]), F.lit("")), 1, 0)
+    message = F.concat(F.lit("record with more fields than the header: "), F.col(_UNFIT), nothing)
+    refuse = F.raise_error(message)
     fits = F.when(F.col(_UNFIT).isNotNull() & surplus, refuse.cast("boolean")).otherwise(F.lit(True))
     return rows.filter(fits).select(*names)
 
