@@ -36,7 +36,7 @@ class Lists:
     copies: int = 4
     boundary: float = 1.15
     reach: int = 256
-    ratio: float = 1.12
+    ratio: float = 1.15
     beam: int = 64
     neighbours: int = 24
     seed: int = 1

@@ -1,0 +1,258 @@
+"""Operators on texts against brute force, with null, empty, long and repeated rows."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from sedimenta.llm import licenses, ngram_join, packing, pieces, sharding, suffixes
+from tests.llm.conftest import make_docs, texts
+
+LAST = 2**63 - 1
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def cut_by_force(rows, window=50):
+    first = {}
+    for i, t in rows:
+        data = (t or "").encode()
+        for at in range(len(data) - window + 1):
+            key = data[at : at + window]
+            first[key] = min(first.get(key, LAST), LAST if i is None else i)
+    out = []
+    for i, t in rows:
+        data = (t or "").encode()
+        gone = bytearray(len(data))
+        for at in range(len(data) - window + 1):
+            if first[data[at : at + window]] < (LAST if i is None else i):
+                gone[at : at + window] = b"\1" * window
+        kept = bytes(b for b, g in zip(data, gone) if not g)
+        spans = len(re.findall(rb"\x01+", bytes(gone)))
+        out.append((i, len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+def test_repeats_are_cut(docs):
+    found = suffixes.remove_repeats(docs, carry=["kept", "text"])
+    rows = found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("span_starts"), F.sha2("kept", 256)
+    ).collect()
+    assert sorted(map(tuple, rows), key=str) == cut_by_force(texts())
+    assert {r.kept for r in found.select("carried.kept").collect()} == {"kept"}
+
+
+def test_repeats_between_texts_that_share_an_id(llm):
+    rows = [(1, "a" * 60), (1, "b" * 70), (2, "a" * 60 + "b" * 70), (1, "b" * 70)]
+    found = suffixes.remove_repeats(make_docs(llm, rows)).select("doc_id", "n_bytes", "n_removed")
+    assert sorted(map(tuple, found.collect())) == [(1, 60, 0), (1, 70, 0), (1, 70, 0), (2, 130, 130)]
+
+
+def join_by_force(rows):
+    sets = []
+    for _, t in rows:
+        w = [x for x in re.split(rb"[\x20\x09-\x0d]+", (t or "").encode().lower()) if x]
+        grams = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()}
+        sets.append(grams)
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if sets[a] and 100 * both >= 75 * len(sets[a] | sets[b]):
+                parent[root(a)] = root(b)
+    least = {}
+    for at, (i, _) in enumerate(rows):
+        least[root(at)] = min(least.get(root(at), LAST), LAST if i is None else i)
+    real = lambda i: None if i == LAST else i
+    return sorted([(i, len(sets[at]), real(least[root(at)])) for at, (i, _) in enumerate(rows)], key=str)
+
+
+def test_classes_of_similar_documents(docs):
+    assert sorted(map(tuple, ngram_join.join_classes(docs).collect()), key=str) == join_by_force(texts())
+
+
+def test_classes_by_chains_and_hot_groups(llm):
+    base = [f"w{k}" for k in range(80)]
+    rows = [(i, " ".join([*base[:i], *(f"z{i}-{k}" for k in range(3)), *base[i:]])) for i in range(60)]
+    rows += [(100 + i, " ".join(f"c{k}" for k in range(i * 4, i * 4 + 40))) for i in range(30)]
+    found = ngram_join.join_classes(make_docs(llm, rows))
+    assert sorted(map(tuple, found.collect()), key=str) == join_by_force(rows)
+
+
+def test_walk_over_the_trie():
+    rng = np.random.default_rng(0)
+    for _ in range(200):
+        probe = np.sort(rng.choice(200, rng.integers(1, 90), replace=False)).astype(np.uint64)
+        partners = []
+        for _ in range(6):
+            kept = probe[rng.random(len(probe)) < 0.9]
+            more = rng.choice(200, rng.integers(0, 12), replace=False).astype(np.uint64)
+            partners.append(np.union1d(kept, more))
+        partners = [p for p in partners if len(p)] + [probe]
+        expected = [
+            4 * len(np.intersect1d(probe, p)) >= 3 * len(np.union1d(probe, p)) for p in partners
+        ]
+        assert ngram_join.walk(probe, partners, step=7) == expected
+
+
+def best_fit(lengths, size):
+    """Best-fit decreasing, one piece at a time: the room left in each sequence."""
+    room = []
+    for length in sorted(lengths, reverse=True):
+        fits = [k for k, r in enumerate(room) if r >= length]
+        if fits:
+            room[min(fits, key=room.__getitem__)] -= length
+        else:
+            room.append(size - length)
+    return room
+
+
+def test_packing(docs):
+    from tokenizers import Tokenizer
+
+    size = 512
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    rows = packing.pack(docs, TOKENIZER, size).collect()
+    expected = Counter()
+    for i, t in texts():
+        ids = [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1]
+        for number, start in enumerate(range(0, len(ids), size)):
+            piece = np.array(ids[start : start + size], "<u4")
+            expected[i, number, start, len(piece), zlib.crc32(piece.tobytes())] += 1
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == expected
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= size
+    assert len(sequences) == len(best_fit([r.length for r in rows], size))
+
+
+@pytest.mark.parametrize("word", ["<|endoftext|>x", "ΑΣ ΟΣ", "été İ", "a'll 12½ _-!\x1c9"])
+def test_words_are_tokenized_as_whole_texts(word):
+    from tokenizers import Tokenizer
+
+    ids, counts = packing.WordIds(TOKENIZER).encode([word, f"so {word}\n{word}", ""])
+    whole = Tokenizer.from_file(TOKENIZER).encode_batch([word, f"so {word}\n{word}"], add_special_tokens=False)
+    assert ids.tolist() == whole[0].ids + whole[1].ids and counts.tolist()[2] == 0
+
+
+def test_plan_fills_sequences():
+    rng = np.random.default_rng(3)
+    for _ in range(30):
+        lengths = rng.integers(1, 101, rng.integers(1, 400))
+        counts = dict(Counter(lengths.tolist()))
+        plan = packing.plan(counts, 100)
+        assert plan.groupby("length")["many"].sum().to_dict() == counts
+        used = Counter()
+        for row in plan.itertuples():
+            for k in range(row.many):
+                used[row.first_sequence + k] += row.length
+        assert max(used.values()) <= 100
+        assert len(used) == len(best_fit(lengths.tolist(), 100))
+
+
+def test_shards(docs):
+    rows = sharding.shard(docs.select("doc_id", "text")).collect()
+    assert len(rows) == docs.count()
+    slots = {}
+    for r in rows:
+        slots.setdefault(r.shard, []).append(r.slot)
+        assert r.grown_shard in (r.shard, 8)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    by_key = {}
+    for r in rows:
+        assert by_key.setdefault(r.doc_id, r.shard) == r.shard
+
+
+def test_shards_follow_their_weights(llm):
+    keys = llm.range(20_000).withColumnRenamed("id", "doc_id")
+    counts = sharding.shard(keys, weights=[1, 1, 2], grown_by=1).groupBy("shard", "grown_shard").count()
+    found = {(r.shard, r.grown_shard): r["count"] for r in counts.collect()}
+    total = lambda s: sum(n for (a, _), n in found.items() if a == s)
+    assert abs(total(2) - 10_000) < 400 and abs(total(0) - 5_000) < 400
+    assert abs(sum(n for (_, b), n in found.items() if b == 3) - 4_000) < 400
+    with pytest.raises(ValueError):
+        sharding.shard(keys, weights=[1, 0])
+
+
+def test_licenses(docs):
+    rows = {r.doc_id: r for r in licenses.scan(docs).collect() if r.doc_id is not None}
+    assert (rows[20].n_base, rows[20].first_word, rows[20].last_word) == (3, 8, 13)
+    assert (rows[20].base_labels, rows[20].labels) == ("cc-by,reserved", "apache,cc-by,reserved")
+    assert (rows[21].n_base, rows[21].labels, rows[21].score) == (0, "mit", 1.0)
+    assert (rows[1].n_words, rows[1].first_word, rows[1].score) == (0, None, 0.0)
+    assert licenses.scan(docs).count() == docs.count()
+
+
+def test_phrases_may_overlap_and_cross_lines(llm):
+    found = licenses.scan(make_docs(llm, [(1, "a A\na b"), (2, "É1é a-a")]), {"a a": "aa", "é1é": "e"})
+    rows = {r.doc_id: tuple(r) for r in found.collect()}
+    assert rows[1][1:6] == (4, 2, 0, 1, "aa")
+    # Only A-Z are lower-cased.
+    assert rows[2][1:6] == (3, 1, 1, 1, "aa")
+
+
+def test_pieces_spell_every_text(docs):
+    encoded = pieces.encode(docs, MODEL, chunk=500).cache()
+    decoded = {}
+    for r in pieces.decode(encoded, MODEL).orderBy("doc_id", "chunk").collect():
+        decoded.setdefault(r.doc_id, []).append(r)
+    expected = {}
+    for i, t in texts():
+        expected.setdefault(i, []).append(t or "")
+    for i, parts in decoded.items():
+        if len(expected[i]) == 1:
+            assert "".join(r.text for r in parts) == expected[i][0]
+            at = 0
+            for r in parts:
+                assert r.start == at
+                at += r.length
+    assert decoded.keys() == expected.keys()
+
+
+def test_chunks_give_the_best_path():
+    words = pieces.Vocabulary(MODEL)
+    rng = np.random.default_rng(2)
+    for text in (texts()[0][1], "the  the   a\n\nb" * 40, "x" * 300, "日本" * 100, texts()[25][1]):
+        marked = pieces.mark(text, True)
+        best = words.trace(marked)[0]
+        assert np.isclose(sum(words.unit(u)[0] for u in pieces.units(marked)), best)
+        cuts = [0, *sorted(rng.choice(range(20, len(marked)), min(3, len(marked) - 20), replace=False)), len(marked)]
+        cuts = [c for k, c in enumerate(cuts) if k == 0 or c - cuts[k - 1] >= 20 or c == len(marked)]
+        matrices = [
+            words.transfer(marked[a : b + words.reach], b - a) for a, b in zip(cuts, cuts[1:])
+        ]
+        total = matrices[0]
+        for matrix in matrices[1:]:
+            total = pieces.combine(total, matrix)
+        assert np.isclose(total[0, 0], best)
+        states = pieces.path_through(matrices, 0, 0)
+        score = sum(
+            words.trace(marked[a + i : b + j])[0] for a, b, i, j in zip(cuts, cuts[1:], states, states[1:])
+        )
+        assert np.isclose(score, best)
+
+
+def test_empty_tables(empty):
+    assert suffixes.remove_repeats(empty).count() == 0
+    assert ngram_join.join_classes(empty).count() == 0
+    assert packing.pack(empty, TOKENIZER).count() == 0
+    assert sharding.shard(empty.select("doc_id")).count() == 0
+    assert licenses.scan(empty).count() == 0
+    assert pieces.decode(pieces.encode(empty, MODEL), MODEL).count() == 0
