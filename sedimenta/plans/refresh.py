@@ -22,7 +22,7 @@ from sedimenta.schemas import DIM_CUSTOMER, DIM_PRODUCT, FACT_SALES, TABLES, Tab
 from sedimenta.sources import csv
 from sedimenta.sources.tables import (
     ensure_database,
-    ensure_table,
+    ensure_keyed,
     hold,
     load_stamp,
     publish,
@@ -92,7 +92,7 @@ def ingest(
 
 def merge_stage(held: DataFrame, spec: TableSpec, layers: Layers = Layers()) -> DataFrame:
     """Merge a held batch, already stamped and fitted to the declared schema, into its stage table."""
-    ensure_table(held.sparkSession, layers.stage_table(spec.name), spec.stage)
+    ensure_keyed(held.sparkSession, layers.stage_table(spec.name), spec.stage)
     return upsert(held, layers.stage_table(spec.name), spec.key)
 
 

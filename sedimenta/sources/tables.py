@@ -2,7 +2,9 @@
 
 A table `stage.orders_stage` is a view over its current version, a Parquet table of its own.
 A load writes a new version and then points the view at it, so readers never see a half-written
-table, a failed load leaves the old data in place, and a load may read what it replaces.
+table, a failed load leaves the old data in place, and a load may read what it replaces. A keyed
+table (the stage layer) is a view over one version of each of its buckets, so a merge rewrites only
+the buckets it touches.
 """
 
 from __future__ import annotations
@@ -11,7 +13,8 @@ from collections.abc import Sequence
 from datetime import datetime, timezone
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sedimenta.operators.upsert import merge_native, merge_rows, require_unique
@@ -114,16 +117,87 @@ def accepts_merge(spark: SparkSession, name: str) -> bool:
     return described.get("Type") != "VIEW" and described.get("Provider", "hive").lower() not in plain
 
 
+# A keyed table is cut into this many buckets by a hash of its key. A merge writes the buckets that
+# the batch touches and leaves the files of the others as they are.
+BUCKETS = 64
+
+_KEYED, _KEYED_BEFORE = "keyed_buckets", "keyed_buckets_before"
+_BUCKET = "_bucket"
+
+
+def _bucket_of(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
+def _root(spark: SparkSession, name: str) -> str:
+    database, _, table = name.rpartition(".")
+    location = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    return f"{location}/{table}__buckets"
+
+
+def _buckets(spark: SparkSession, name: str, told_by: str = _KEYED) -> dict[int, str]:
+    """The version that holds each bucket of a keyed table."""
+    told = _properties(spark, name).get(told_by, "")
+    return {int(b): version for b, version in (entry.split(":") for entry in told.split(",") if entry)}
+
+
+def _point(
+    spark: SparkSession, name: str, schema: StructType, buckets: dict[int, str], before: dict[int, str]
+) -> None:
+    """Point the table's view at a version of each bucket, all at once."""
+    columns = ", ".join(f"`{f.name}`" for f in schema)
+    if buckets:
+        paths = ",".join(f"{version}/{_BUCKET}={b}" for b, version in sorted(buckets.items()))
+        body = f"SELECT {columns} FROM parquet.`{_root(spark, name)}/{{{paths}}}`"
+    else:
+        nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema)
+        body = f"SELECT {nulls} WHERE false"
+    told = {
+        key: ",".join(f"{b}:{version}" for b, version in sorted(held.items()))
+        for key, held in ((_KEYED, buckets), (_KEYED_BEFORE, before))
+    }
+    listed = ", ".join(f"'{key}' = '{value}'" for key, value in told.items())
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ({listed}) AS {body}")
+
+
+def ensure_keyed(spark: SparkSession, name: str, schema: StructType) -> DataFrame:
+    """The keyed table, created empty with an explicit schema when it does not exist."""
+    if not spark.catalog.tableExists(name):
+        _point(spark, name, schema, {}, {})
+    return spark.table(name)
+
+
 def upsert(held: DataFrame, name: str, key: str) -> DataFrame:
-    """Merge a held batch into a layer table by primary key; running it twice changes nothing more.
+    """Merge a held batch into a keyed table by primary key; running it twice changes nothing more.
 
-    A table that accepts MERGE rewrites only what the batch touches. Plain files are replaced by
-    a new version. The batch is read for the uniqueness check, the anti join and the union, so it
-    should be a scan (see `hold`), not a plan that would run again each time.
+    A table that accepts MERGE does it itself. Otherwise only the buckets that hold keys of the
+    batch are read, merged and written, and then the view moves to them; files of other buckets
+    stay. Replaced buckets stay too, for readers that have started, until `drop_replaced`. The
+    batch is read several times, so it should be a scan (see `hold`), not a plan.
     """
     spark = held.sparkSession
     require_unique(held, key)
     if accepts_merge(spark, name):
         merge_native(name, held, key)
         return spark.table(name)
-    return publish(merge_rows(ensure_table(spark, name, held.schema), held, key), name)
+    target = ensure_keyed(spark, name, held.schema)
+    # At most BUCKETS numbers.
+    touched = {r[0] for r in held.select(_bucket_of(key)).distinct().collect()}
+    if not touched:
+        return target
+    buckets = _buckets(spark, name)
+    paths = [f"{_root(spark, name)}/{buckets[b]}/{_BUCKET}={b}" for b in sorted(touched & buckets.keys())]
+    rows = held
+    if paths:
+        rows = merge_rows(spark.read.schema(target.schema).parquet(*paths), held, key)
+    rows = rows.select(*target.columns, _bucket_of(key).alias(_BUCKET))
+    version = f"v{_unique()}"
+    rows = spark.sql(f"SELECT /*+ REBALANCE({_BUCKET}) */ * FROM {{rows}}", rows=rows)
+    rows.write.mode("errorifexists").partitionBy(_BUCKET).parquet(f"{_root(spark, name)}/{version}")
+    outdated = _buckets(spark, name, _KEYED_BEFORE)
+    now = buckets | dict.fromkeys(touched, version)
+    _point(spark, name, target.schema, now, buckets)
+    for bucket, held_before in outdated.items():
+        if held_before not in (buckets.get(bucket), now[bucket]):
+            release(spark, f"{_root(spark, name)}/{held_before}/{_BUCKET}={bucket}")
+    return spark.table(name)

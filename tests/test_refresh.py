@@ -132,6 +132,34 @@ def test_missing_last_fields_are_null(spark, extracts, tmp_path):
     assert (row.category, row.price_usd, row.active) == ("Books", None, None)
 
 
+def bucket_files(spark, name):
+    root = Path(tables._root(spark, name).removeprefix("file:"))
+    return {p: p.stat().st_mtime_ns for p in root.rglob("*.parquet")}
+
+
+def test_a_merge_leaves_untouched_buckets_as_they_are(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS keyed")
+    rows = spark.range(1000).select("id", F.lit("a").alias("v"))
+    held, path = tables.hold(rows, "keyed")
+    tables.upsert(held, "keyed.t", "id")
+    before = bucket_files(spark, "keyed.t")
+    assert len(before) == tables.BUCKETS
+    batch, other = tables.hold(spark.createDataFrame([(7, "b"), (5000, "c")], "id long, v string"), "keyed")
+    for _ in range(3):
+        merged = tables.upsert(batch, "keyed.t", "id")
+        assert merged.count() == 1001
+        assert {r.id: r.v for r in merged.filter("v <> 'a'").collect()} == {7: "b", 5000: "c"}
+    after = bucket_files(spark, "keyed.t")
+    kept = {p for p in before if p in after}
+    # At most two buckets were touched, and their first files are gone by now.
+    assert len(kept) >= tables.BUCKETS - 2 and all(after[p] == before[p] for p in kept)
+    assert len(after) <= len(kept) + 2 * 2
+    empty, third = tables.hold(batch.limit(0), "keyed")
+    assert tables.upsert(empty, "keyed.t", "id").count() == 1001
+    for p in (path, other, third):
+        tables.release(spark, p)
+
+
 def test_refresh_end_to_end_and_again(spark, extracts, tmp_path):
     names = layers("e2e")
     landing = str(tmp_path / "landing")
@@ -168,9 +196,10 @@ def test_refresh_end_to_end_and_again(spark, extracts, tmp_path):
     for _ in range(2):
         refresh.refresh(spark, str(extracts), landing, names)
     assert before == [body(spark.table(t), "stage_updated_at") for t in stage_tables]
-    # The current version and the one before it; nothing older, nothing held.
-    found = [t.name for t in spark.catalog.listTables(names.stage) if t.name.startswith("orders_")]
+    # The current version of a table and the one before it; nothing older, nothing held.
+    found = [t.name for t in spark.catalog.listTables(names.raw) if t.name.startswith("orders_")]
     assert len(found) == 3
+    assert len(bucket_files(spark, names.stage_table("orders"))) <= 2 * 3
     held = tables.shared_folder(spark)
     path = spark._jvm.org.apache.hadoop.fs.Path(held)
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
