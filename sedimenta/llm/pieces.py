@@ -21,7 +21,7 @@ from sedimenta.llm import digits
 from sedimenta.llm.common import DOC_ID, TEXT, documents, staged
 
 SPACE = "▁"  # stands for a blank in pieces
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 400_000
 BLOCK = 256
 NEVER = -np.inf
 
@@ -48,27 +48,35 @@ class Vocabulary:
         self.reach = max(map(len, self.ids))  # the longest piece
         self.pieces = {i: p for p, i in self.ids.items()}
         self.bytes = {i: b for b, i in enumerate(self.byte_ids)}
-        self.units: dict[str, tuple[float, list[int]]] = {}
+        # Every beginning of a piece, with the piece's score where it is one itself.
+        self.beginnings: dict[str, float | None] = {}
+        for piece in self.ids:
+            for end in range(1, len(piece)):
+                self.beginnings.setdefault(piece[:end], None)
+            self.beginnings[piece] = self.scores[piece]
+        self.units = Units(self)
 
     def spelled(self, character: str) -> float | None:
         """Score of a character in bytes, for one that has no piece of its own."""
         return None if character in self.scores else self.byte_score * len(spelling(character))
 
     def trace(self, text: str) -> tuple[float, list[int]]:
-        """Score and ids of the best way to cut `text`; of equal ones, the longest last piece."""
-        scores, reach = self.scores, self.reach
-        n = len(text)
+        """Score and ids of the best way to cut `text`; of equal ones, the first that was found."""
+        beginnings, n = self.beginnings, len(text)
         best, back = [0.0] + [NEVER] * n, [0] * (n + 1)
-        for end in range(1, n + 1):
-            top, at = NEVER, end - 1
-            for start in range(max(0, end - reach), end):
-                score = scores.get(text[start:end])
-                if score is not None and best[start] + score > top:
-                    top, at = best[start] + score, start
-            spelled = self.spelled(text[end - 1])
-            if spelled is not None and best[end - 1] + spelled > top:
-                top, at = best[end - 1] + spelled, end - 1
-            best[end], back[end] = top, at
+        for start in range(n):
+            here = best[start]
+            for end in range(start + 1, n + 1):
+                score = beginnings.get(text[start:end], NEVER)
+                if score is None:
+                    continue
+                if score == NEVER:
+                    break
+                if here + score > best[end]:
+                    best[end], back[end] = here + score, start
+            spelled = self.spelled(text[start])
+            if spelled is not None and here + spelled > best[start + 1]:
+                best[start + 1], back[start + 1] = here + spelled, start
         ids, end = [], n
         while end:
             start = back[end]
@@ -80,21 +88,12 @@ class Vocabulary:
             end = start
         return best[n], ids[::-1]
 
-    def unit(self, unit: str) -> tuple[float, list[int]]:
-        found = self.units.get(unit)
-        if found is None:
-            if len(self.units) > CACHE_ENTRIES:
-                self.units.clear()
-            found = self.units[unit] = self.trace(unit)
-        return found
-
-    def encode(self, marked: str) -> list[int]:
+    def encode(self, marked: str) -> np.ndarray:
         """Ids of a text whose blanks are marked. No piece has a mark behind another character or
         holds a line break, so the units between those are solved, and remembered, one by one."""
-        ids: list[int] = []
-        for unit in units(marked):
-            ids += self.unit(unit)[1]
-        return ids
+        if len(self.units) > CACHE_ENTRIES:
+            self.units.clear()
+        return np.frombuffer(b"".join(map(self.units.__getitem__, units(marked))), dtype="<u4")
 
     def transfer(self, marked: str, n: int) -> np.ndarray:
         """Best scores from entry i to exit j of a chunk: `n` characters and what may follow."""
@@ -110,7 +109,7 @@ class Vocabulary:
                 # A unit that lies whole in the chunk has one best way once it is entered.
                 end = ends.get(at)
                 if end is not None and end <= n and at >= reach:
-                    np.maximum(best[end], row + self.unit(marked[at:end])[0], out=best[end])
+                    np.maximum(best[end], row + self.trace(marked[at:end])[0], out=best[end])
                     at = end
                     continue
                 for length in range(1, min(reach, len(marked) - at) + 1):
@@ -140,19 +139,39 @@ def unit_starts(marked: str) -> list[int]:
     return starts
 
 
-def units(marked: str) -> Iterator[str]:
+def units(marked: str) -> list[str]:
+    """The text cut where no piece can reach across."""
+    out = []
     for number, line in enumerate(marked.split("\n")):
         if number:
-            yield "\n"
-        blanks = 0
-        for place, word in enumerate(line.split(SPACE)):
-            if place:
-                blanks += 1
+            out.append("\n")
+        first, *words = line.split(SPACE)
+        if first:
+            out.append(first)
+        if "" not in words:
+            out += [SPACE + word for word in words]
+            continue
+        blanks = 0  # marks in a row belong to the word behind them
+        for word in words:
+            blanks += 1
             if word:
-                yield SPACE * blanks + word
+                out.append(SPACE * blanks + word)
                 blanks = 0
         if blanks:
-            yield SPACE * blanks
+            out.append(SPACE * blanks)
+    return out
+
+
+class Units(dict):
+    """Ids of units as bytes, worked out once."""
+
+    def __init__(self, words: Vocabulary):
+        super().__init__()
+        self.words = words
+
+    def __missing__(self, unit: str) -> bytes:
+        self[unit] = ids = np.array(self.words.trace(unit)[1], dtype="<u4").tobytes()
+        return ids
 
 
 # Stands for a mark that the text itself holds. Half a surrogate pair occurs in no text.
@@ -225,7 +244,7 @@ def encode(docs: DataFrame, model: str, chunk: int = 32_768) -> DataFrame:
         for batch in digits.text_batches(batches, 2_000_000):
             rows = []
             for doc_id, own in zip(batch[DOC_ID].astype("Int64"), batch[TEXT]):
-                ids = np.array(words.encode(mark(own, True)), dtype="<u4")
+                ids = words.encode(mark(own, True))
                 rows.append((doc_id, 0, 0, len(own), len(ids), ids.tobytes()))
             yield frame(rows)
 
@@ -270,7 +289,7 @@ def encode(docs: DataFrame, model: str, chunk: int = 32_768) -> DataFrame:
             for r in batch.itertuples():
                 first = r.chunk == 0
                 marked = mark(r.own, first)
-                ids = np.array(words.encode(marked[r.enters : r.n + first + r.leaves]), dtype="<u4")
+                ids = words.encode(marked[r.enters : r.n + first + r.leaves])
                 start = r.chunk * chunk + r.enters
                 rows.append((r.doc_id, r.chunk, start, r.n + r.leaves - r.enters, len(ids), ids.tobytes()))
             out = frame(rows)

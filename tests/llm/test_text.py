@@ -232,7 +232,7 @@ def test_chunks_give_the_best_path():
     for text in (texts()[0][1], "the  the   a\n\nb" * 40, "x" * 300, "日本" * 100, texts()[25][1]):
         marked = pieces.mark(text, True)
         best = words.trace(marked)[0]
-        assert np.isclose(sum(words.unit(u)[0] for u in pieces.units(marked)), best)
+        assert np.isclose(sum(words.trace(u)[0] for u in pieces.units(marked)), best)
         cuts = [0, *sorted(rng.choice(range(20, len(marked)), min(3, len(marked) - 20), replace=False)), len(marked)]
         cuts = [c for k, c in enumerate(cuts) if k == 0 or c - cuts[k - 1] >= 20 or c == len(marked)]
         matrices = [
