@@ -227,3 +227,22 @@ def near_duplicates(
         F.coalesce("least", "vec_id").alias("component_id"),
         F.coalesce(F.col("vec_id") == F.coalesce("least", "vec_id"), F.lit(False)).alias("kept"),
     )
+
+
+# The links by brute force in the checking engine's SQL.
+ORACLE_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+u AS (SELECT *, sqrt(list_dot_product(x, x)) AS size FROM v),
+e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b
+      ON a.label = b.label AND len(a.x) = len(b.x) AND a.vec_id <> b.vec_id
+      WHERE list_dot_product(a.x, b.x) / (a.size * b.size) >= 0.98e0),
+r(vec_id, other) AS (SELECT vec_id, vec_id FROM embeddings
+                     UNION SELECT r.vec_id, e.b FROM r JOIN e ON r.other = e.a),
+n AS (SELECT a, count(*) AS n FROM e GROUP BY a)
+SELECT r.vec_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_links,
+  min(other) AS component_id, r.vec_id = min(other) AS kept
+FROM r LEFT JOIN n ON n.a = r.vec_id GROUP BY r.vec_id"""

@@ -371,3 +371,25 @@ def join_classes(docs: DataFrame) -> DataFrame:
     return joined.join(least, "class").select(
         real(DOC_ID), F.col("n").alias("n_shingles"), real("component_id")
     )
+
+
+# The classes by brute force in the checking engine's SQL.
+ORACLE_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT doc_id, unnest(CASE WHEN len(ws) >= 5
+    THEN list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')))
+    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+      FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+      WHERE 100 * c >= 75 * (na.n + nb.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(doc_id, other) AS (SELECT doc_id, doc_id FROM documents
+                     UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.other = e.a)
+SELECT r.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(other) AS component_id
+FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id"""

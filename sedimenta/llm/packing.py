@@ -23,7 +23,7 @@ from sedimenta.llm.common import documents, gapless_rank, segment_ranges, staged
 
 # Ids appended to a document so that its end can be seen.
 END_ID = 1
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 1_200_000
 BATCH_CHARS = 4_000_000
 
 # How the tokenizer cuts text into pieces before it merges bytes.
@@ -56,24 +56,29 @@ class WordIds(dict):
 
     def forget(self) -> None:
         self.clear()
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, int] = {}  # places of pieces in the same table
         self.flat, self.starts = array("I"), array("q", [0])
 
-    def piece_ids(self, piece: str) -> list[int]:
-        ids = self.pieces.get(piece)
-        if ids is None:
+    def _placed(self, ids) -> int:
+        self.flat.extend(ids)
+        self.starts.append(len(self.flat))
+        return len(self.starts) - 2
+
+    def piece_ids(self, piece: str) -> array:
+        place = self.pieces.get(piece)
+        if place is None:
             letters = "".join(map(self.letters.__getitem__, piece.encode()))
-            ids = self.pieces[piece] = [t.id for t in self.tokenizer.model.tokenize(letters)]
-        return ids
+            place = self.pieces[piece] = self._placed([t.id for t in self.tokenizer.model.tokenize(letters)])
+        return self.flat[self.starts[place] : self.starts[place + 1]]
 
     def __missing__(self, word: str) -> int:
+        ids = array("I")
         if _PLAIN.fullmatch(word) and "<|" not in word:
             for piece in _PIECES.findall(word.lower()):
-                self.flat.extend(self.piece_ids(piece))
+                ids.extend(self.piece_ids(piece))
         elif word:
-            self.flat.extend(self.tokenizer.encode(word, add_special_tokens=False).ids)
-        self[word] = place = len(self.starts) - 1
-        self.starts.append(len(self.flat))
+            ids.extend(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        self[word] = place = self._placed(ids)
         return place
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

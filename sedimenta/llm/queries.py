@@ -113,4 +113,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_ngram_join": op10_ngram_join,
 }
 
-ORACLE: dict[str, str] = {"op2_licenses": licenses.oracle_sql()}
+ORACLE: dict[str, str] = {
+    "op2_licenses": licenses.oracle_sql(),
+    "op9_embedding_dedup": embedding_dedup.ORACLE_SQL,
+    "op10_ngram_join": ngram_join.ORACLE_SQL,
+}
