@@ -18,10 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.llm import digits
-from sedimenta.llm.common import DOC_ID, TEXT, documents, staged
+from sedimenta.llm.common import DOC_ID, TEXT, documents, segment_ranges, staged
 
 SPACE = "▁"  # stands for a blank in pieces
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 900_000
 BLOCK = 256
 NEVER = -np.inf
 
@@ -46,8 +46,14 @@ class Vocabulary:
                 self.scores[piece] = -float(np.log1p(-model.get_score(i)))
         self.byte_score = -float(np.log1p(size)) - 10.0
         self.reach = max(map(len, self.ids))  # the longest piece
-        self.pieces = {i: p for p, i in self.ids.items()}
-        self.bytes = {i: b for b, i in enumerate(self.byte_ids)}
+        spelled = [b""] * size  # what each id stands for
+        for piece, i in self.ids.items():
+            spelled[i] = piece.replace(SPACE, " ").encode()
+        for byte, i in enumerate(self.byte_ids):
+            spelled[i] = bytes([byte])
+        self.lengths = np.array([len(b) for b in spelled])
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.letters = np.frombuffer(b"".join(spelled), dtype=np.uint8)
         # Every beginning of a piece, with the piece's score where it is one itself.
         self.beginnings: dict[str, float | None] = {}
         for piece in self.ids:
@@ -122,11 +128,7 @@ class Vocabulary:
         return best[n:].T.copy()
 
     def decode(self, ids: np.ndarray) -> bytes:
-        out = []
-        for i in ids.tolist():
-            piece = self.pieces.get(i)
-            out.append(bytes([self.bytes[i]]) if piece is None else piece.replace(SPACE, " ").encode())
-        return b"".join(out)
+        return self.letters[segment_ranges(self.starts[ids], self.lengths[ids])].tobytes()
 
 
 def unit_starts(marked: str) -> list[int]:
