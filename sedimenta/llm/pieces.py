@@ -60,6 +60,7 @@ class Vocabulary:
             for end in range(1, len(piece)):
                 self.beginnings.setdefault(piece[:end], None)
             self.beginnings[piece] = self.scores[piece]
+        self.inside = {piece[k : k + 2] for piece in self.ids for k in range(len(piece) - 1)}
         self.units = Units(self)
 
     def spelled(self, character: str) -> float | None:
@@ -172,7 +173,14 @@ class Units(dict):
         self.words = words
 
     def __missing__(self, unit: str) -> bytes:
-        self[unit] = ids = np.array(self.words.trace(unit)[1], dtype="<u4").tobytes()
+        # Two characters that stand together in no piece part a unit; most often a full stop does.
+        inside = self.words.inside
+        cuts = [k for k in range(1, len(unit)) if unit[k - 1 : k + 1] not in inside]
+        if cuts:
+            ids = b"".join(self[unit[lo:hi]] for lo, hi in zip([0, *cuts], [*cuts, len(unit)]))
+        else:
+            ids = np.array(self.words.trace(unit)[1], dtype="<u4").tobytes()
+        self[unit] = ids
         return ids
 
 
