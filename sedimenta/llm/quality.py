@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import DOC_ID, TEXT, documents
+from sedimenta.llm.common import DOC_ID, TEXT, documents, staged
 from sedimenta.llm.toxicity import labelled
 
 # Shares of bytes by class, then shares of words, then length and being first or last.
@@ -181,7 +181,9 @@ def fit(docs: DataFrame, labels: DataFrame, in_training: Column, training: Train
                 )
 
     rows = labelled(docs, labels, "quality", in_training, training.rows)
-    found = rows.mapInPandas(lines, "doc_id long, label int, shape binary").toLocalIterator()
+    # Written in parallel, then read part by part.
+    shaped = staged(rows.mapInPandas(lines, "doc_id long, label int, shape binary"), "shapes")
+    found = shaped.toLocalIterator()
     found = sorted(found, key=lambda r: (r.doc_id, bytes(r.shape)))
     parts = [np.frombuffer(r.shape, np.float32).reshape(-1, N_SHAPE) for r in found]
     return learn(

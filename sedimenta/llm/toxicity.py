@@ -138,7 +138,8 @@ def fit(docs: DataFrame, labels: DataFrame, in_training: Column, training: Train
             )
 
     schema = "doc_id long, label int, buckets binary, shares binary"
-    found = sample.mapInPandas(bags, schema).toLocalIterator()
+    # Written in parallel, then read part by part.
+    found = staged(sample.mapInPandas(bags, schema), "bags").toLocalIterator()
     found = sorted(found, key=lambda r: (r.doc_id, bytes(r.buckets)))
     model = learn(
         [np.frombuffer(r.buckets, np.int32) for r in found],
