@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import os
 import zlib
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from pathlib import Path
 from uuid import uuid4
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -52,6 +53,31 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def membership(keys: DataFrame, name: str, bits: int = 1 << 24) -> Callable[[Column], Column]:
+    """A test that all keys pass and, while they are few beside `bits`, little else does.
+
+    Its table of `bits` bits has the same size for any number of keys; with many it lets more
+    through, so an exact join must follow.
+    """
+
+    def places(key: Column) -> list[Column]:
+        return [F.pmod(F.xxhash64(key, F.lit(k)), F.lit(bits)).cast("int") for k in (0, 1)]
+
+    at = keys.select(F.explode(F.array(*places(F.col(name)))).alias("at"))
+    word, bit = F.shiftright("at", 5).alias("word"), F.expr("shiftleft(1, at & 31)")
+    words = at.groupBy(word).agg(F.bit_or(bit).alias("held")).toPandas()  # at most bits / 32 rows
+    table = np.zeros(bits // 32, dtype=np.uint32)
+    table[words["word"].to_numpy().astype(np.int64)] = words["held"].to_numpy().astype(np.int64) & 0xFFFFFFFF
+    shared = keys.sparkSession.sparkContext.broadcast(table)
+
+    @F.pandas_udf("boolean")
+    def held(first: pd.Series, second: pd.Series) -> pd.Series:
+        both = [(shared.value[p.to_numpy() >> 5] >> (p.to_numpy() & 31).astype(np.uint32)) & 1 for p in (first, second)]
+        return pd.Series((both[0] & both[1]).astype(bool))
+
+    return lambda key: held(*places(key))
+
+
 def gapless_rank(df: DataFrame, group: str, by: Sequence[Column], rank: str) -> DataFrame:
     """Number the rows of each group from 0 without gaps, though a group may hold all rows.
 

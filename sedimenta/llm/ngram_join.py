@@ -24,7 +24,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.llm import digits
-from sedimenta.llm.common import DOC_ID, TEXT, components, documents, mix, segment_ranges, staged
+from sedimenta.llm.common import (
+    DOC_ID,
+    TEXT,
+    components,
+    documents,
+    membership,
+    mix,
+    segment_ranges,
+    staged,
+)
 from sedimenta.llm.hashing import parts, powers
 
 WORDS = 5
@@ -311,14 +320,20 @@ def join_classes(docs: DataFrame) -> DataFrame:
     held = held.filter(F.col("shared") * OUT_OF >= F.col("n") * SIMILAR).select("node")
     needed = rows.join(held, "node", "left_semi").groupBy("node").agg(F.min(DOC_ID).alias(DOC_ID))
     needed = staged(needed, "needed")
-    sets = _set_rows(text.join(needed.select(DOC_ID).distinct(), DOC_ID, "left_semi"), frequency)
+    ids = needed.select(DOC_ID).distinct()
+    # Most texts stop here instead of being shuffled to the exact test that follows.
+    likely = text.filter(membership(ids, DOC_ID)(F.col(DOC_ID)))
+    sets = _set_rows(likely.join(ids, DOC_ID, "left_semi"), frequency)
     sets = staged(sets.filter("n > 0"), "sets")
     shared = staged(_prefixes(sets), "prefixes")
 
     # Sizes in one band are compatible, so each member may be compared with the band's leader.
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(OUT_OF / SIMILAR)))
     banded = shared.withColumn("band", band)
-    leader = F.min(F.struct("node", "n", "at")).alias("leader")
+    # A shared n-gram stands earliest in the set with the fewest rare ones of its own, such as the
+    # text that others were copied from; that one is similar to more of them than they are to
+    # each other.
+    leader = F.min(F.struct(F.col("at") / F.col("n"), "node", "n", "at")).alias("leader")
     leaders = banded.filter(_EARLY).groupBy("token", "band").agg(leader)
     led = banded.join(leaders, ["token", "band"]).filter(
         (F.col("node") != F.col("leader.node"))

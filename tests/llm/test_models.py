@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as driver
 import corpus_pipeline
 from sedimenta.llm import embedding_dedup, neighbours, quality, toxicity
-from sedimenta.llm.common import components
+from sedimenta.llm.common import components, membership
 from sedimenta.llm.queries import ORACLE, QUERIES
 from tests.llm.conftest import make_docs, texts, words
 
@@ -207,6 +207,13 @@ def test_components(llm):
     assert components(table.limit(0), "a", "b").count() == 0
 
 
+def test_membership_passes_every_key(llm):
+    keys = llm.range(0, 3000, 3)
+    passed = {r.id for r in llm.range(3000).filter(membership(keys, "id", 1 << 14)(F.col("id"))).collect()}
+    assert passed >= set(range(0, 3000, 3)) and len(passed) < 1300
+    assert llm.range(100).filter(membership(keys.limit(0), "id")(F.col("id"))).count() == 0
+
+
 def test_every_operator_is_registered_once():
     names = sorted(QUERIES, key=lambda name: int(name[2:].split("_")[0]))
     assert [int(name[2:].split("_")[0]) for name in names] == list(range(1, 11))
