@@ -14,6 +14,7 @@ import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from uuid import uuid4
 
 import numpy as np
 import pandas as pd
@@ -26,6 +27,7 @@ WORD = re.compile(r"[^\W_]+")
 BUCKETS = 1 << 20
 SHORTEST, LONGEST = 3, 6
 CACHE_ENTRIES = 300_000
+CACHED_SCORES = 900_000
 
 
 @dataclass(frozen=True)
@@ -211,21 +213,33 @@ class WordScores(dict):
         return score
 
     def score(self, text: str) -> float:
-        if len(self) > CACHE_ENTRIES:
+        if len(self) > CACHED_SCORES:
             self.clear()
         words = WORD.findall(text.lower())
         odds = self.model.bias + (sum(map(self.__getitem__, words)) / len(words) if words else 0.0)
         return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
 
 
+_SCORES: dict[str, WordScores] = {}
+
+
+def word_scores(name: str, model: Model) -> WordScores:
+    """The scores of the words met so far, kept between the tasks of a worker process for the
+    model in use."""
+    if name not in _SCORES:
+        _SCORES.clear()
+        _SCORES[name] = WordScores(model)
+    return _SCORES[name]
+
+
 def scorer(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
     """A function of a text column: its score, 0 to 1, higher where toxic is likelier. A null or
     empty text gets the score of the bias alone."""
-    shared = spark.sparkContext.broadcast(model)
+    shared, name = spark.sparkContext.broadcast(model), uuid4().hex
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        words = WordScores(shared.value)
+        words = word_scores(name, shared.value)
         for texts in batches:
             yield pd.Series([words.score(text) for text in texts], dtype="float64")
 
