@@ -1,6 +1,7 @@
 """Operators on texts against brute force, with null, empty, long and repeated rows."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
@@ -208,6 +209,51 @@ def test_phrases_may_overlap_and_cross_lines(llm):
     assert rows[2][1:6] == (3, 1, 1, 1, "aa")
 
 
+def labels_by_force(text):
+    """Labels of notices and the largest share: lines, and every run of a template's span of words."""
+    lowered = (text or "").translate(str.maketrans(licenses.UPPER, licenses.LOWER))
+    lines = [re.findall(licenses.WORD, line) for line in lowered.split("\n")]
+    words = [w for line in lines for w in line]
+    labels, most = set(), 0.0
+    for label, template in licenses.TEMPLATES:
+        own = re.findall(licenses.WORD, template)
+        n, length = len(set(own)), len(own) * 5 // 4
+        blocks = lines + [words[at : at + length] for at in range(len(words))]
+        best = max((len(set(own) & set(b)) for b in blocks), default=0)
+        if best >= (n if n <= 5 else -(-n * 4 // 5)):
+            labels.add(label)
+            most = max(most, best / n)
+    return ",".join(sorted(labels)), most
+
+
+def test_notices_may_cross_lines(llm):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy"
+    bsd = "Redistribution and use in source and binary forms, with or without"
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public"
+    rows = [
+        (1, f"{mit}\nof this software and associated documentation files"),
+        (2, f" * {bsd}\n * modification, are permitted provided that the following conditions\n * are met:"),
+        (3, f"// {mpl}\r\n// License, v. 2.0."),
+        (4, "Licensed under the terms of the\nApache License,\n\nVersion 2.0"),
+        # A word of a short template is missing, in a line and across lines; then none is.
+        (5, "Released under the GNU license"), (6, "Released under\nthe BSD license"), (7, "released\nunder the MIT\nlicense"),
+        # Enough words, but too far from each other.
+        (8, mpl.replace(" ", " x y z\n") + " License v 2 0"),
+        (9, "\n"),
+    ]
+    rng = random.Random(3)
+    for i in range(150):
+        words = rng.choice(licenses.TEMPLATES)[1].split(" ")
+        for _ in range(rng.randint(0, 5)):
+            words.pop(rng.randrange(len(words))) if rng.random() < 0.5 else words.insert(rng.randrange(len(words)), "z")
+        padded = ["the of a"] * rng.randint(0, 3) + words + ["license and under"] * rng.randint(0, 3)
+        rows.append((100 + i, "".join(w + rng.choice(" \n") for w in padded)))
+    found = licenses.scan(make_docs(llm, rows), {}).collect()
+    got = {r.doc_id: (r.labels, r.score) for r in found}
+    assert [got[i][0] for i in range(1, 10)] == ["mit", "bsd", "mpl", "apache", "", "", "mit", "", ""]
+    assert got == {i: labels_by_force(t) for i, t in rows}
+
+
 def test_pieces_spell_every_text(docs):
     encoded = pieces.encode(docs, MODEL, chunk=500).cache()
     decoded = {}
