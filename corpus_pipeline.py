@@ -26,11 +26,21 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones: that with the smallest doc_id. Rows that share
-    a doc_id are one document; rows without one stay."""
-    classes = ngram_join.join_classes(docs)
-    copies = classes.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of similar ones: that with the smallest doc_id, rows without one last.
+
+    Each row is judged by itself under a key of its own, also where ids are repeated or null. Texts
+    without words are like no other and stay.
+    """
+    # The key is written, so that all that reads it, also again after a failure, reads the same one.
+    keyed = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+    classes = ngram_join.join_classes(keyed.select(F.col("_row").alias("doc_id"), "text"))
+    classes = classes.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("class"))
+    rows = keyed.select("_row", F.col("doc_id").cast("long").alias("doc_id"))
+    rows = staged(rows.join(classes, "_row"), "classes")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row"))["_row"]
+    groups = rows.groupBy("class").agg(F.count(F.lit(1)).alias("n"), first.alias("first"))
+    copies = rows.join(groups.filter("n > 1"), "class").filter("_row <> first").select("_row")
+    return keyed.join(copies, "_row", "left_anti").select(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

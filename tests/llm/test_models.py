@@ -232,6 +232,27 @@ def test_nothing_else_imports_the_package():
             assert not any("llm" in name or "corpus_pipeline" in name for name in names), path
 
 
+def test_near_copies_are_dropped_by_row(llm):
+    rng = random.Random(8)
+    base, unique, again, other, third, hot = (words(rng, 60) for _ in range(6))
+    rows = [
+        (1, base), (5, f"{base} more"), (5, unique), (None, f"{base} same"),
+        (7, again), (7, again), (7, other), (7, f"{again} same"),
+        (None, third), (3, f"{third} same"), (None, third),
+        (9, ""), (9, ""), (None, None), *[(None, hot)] * 40,
+    ]
+    docs = make_docs(llm, rows)
+    found = corpus_pipeline.drop_near_copies(llm, docs, "")
+    assert found.columns == docs.columns
+    texts_of = {}
+    for r in found.collect():
+        texts_of.setdefault(r.doc_id, []).append(r.text)
+    # Of row 7's similar texts any one may stay.
+    assert sorted(t.removesuffix(" same") for t in texts_of.pop(7)) == sorted([again, other])
+    assert sorted(texts_of.pop(None), key=str) == sorted([None, hot], key=str)
+    assert texts_of == {1: [base], 5: [unique], 3: [f"{third} same"], 9: ["", ""]}
+
+
 @benchmark
 def test_pipeline_keeps_what_each_stage_decides(llm, tmp_path):
     docs = llm.read.parquet(f"{SF}/documents.parquet")
