@@ -137,6 +137,12 @@ def _compare(cell: int, left: pd.DataFrame, right: pd.DataFrame | None, least: f
     return pd.DataFrame({"node": node, "links": links, "root": node[root]})
 
 
+def lots(sizes: DataFrame) -> int:
+    """Parts of about LOT rows for buckets of which each row is placed once for each block."""
+    placed = sizes.agg(F.coalesce(F.sum(F.col("size") * F.col("blocks")), F.lit(0))).first()[0]
+    return max(64, -(-placed // LOT))
+
+
 def near_duplicates(
     table: DataFrame,
     id_column: str = "vec_id",
@@ -186,6 +192,7 @@ def near_duplicates(
     cells = cells.select("node", "area", "cell")
     sizes = cells.groupBy("area", "cell").agg(F.count(F.lit(1)).alias("size"))
     sizes = sizes.filter("size > 1").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+    sizes = staged(sizes, "sizes")
     placed = cells.join(sizes, ["area", "cell"]).select(
         "node", "area", "cell", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"),
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
@@ -205,8 +212,8 @@ def near_duplicates(
                 out.append(found[found["links"] > 0])
         return pd.concat(out)
 
-    # Many small buckets go to one task together.
-    n_lots = max(64, indexed.count() * hashing.tables * hashing.probes // LOT)
+    # Many small buckets go to one task together; a vector stands once for each block it meets.
+    n_lots = lots(sizes)
     lot = F.pmod(F.xxhash64("area", "cell", "lo", "hi"), F.lit(n_lots)).alias("lot")
     met = carried.groupBy(lot).applyInPandas(compare, "node long, links long, root long")
     met = staged(met, "met")

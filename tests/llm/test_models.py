@@ -3,6 +3,7 @@
 import ast
 import os
 import random
+import re
 from pathlib import Path
 
 import numpy as np
@@ -175,6 +176,29 @@ def test_near_duplicate_vectors(vectors, monkeypatch):
     assert sorted(found, key=str) == sorted(expected, key=str)
 
 
+def test_lots_are_bounded_with_a_hot_cell(llm, monkeypatch):
+    """All rows that are placed, over the lots, though a hot cell copies each to many blocks."""
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 5)
+    monkeypatch.setattr(embedding_dedup, "LOT", 40)
+    found, deal = [], F.pmod
+
+    def pmod(value, n):
+        found.append(n)
+        return deal(value, n)
+
+    monkeypatch.setattr(embedding_dedup.F, "pmod", pmod)
+    rng = np.random.default_rng(4)
+    centre = rng.normal(size=20)
+    rows = [(i, (centre + rng.normal(size=20) * 0.002).tolist(), 0) for i in range(150)]
+    rows += [(1000 + i, rng.normal(size=20).tolist(), 0) for i in range(20)]
+    table = llm.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    kept = {r.vec_id for r in embedding_dedup.near_duplicates(table).collect() if r.kept}
+    assert kept == {0, *range(1000, 1020)}
+    n_lots = int(re.search(r"\d+", str(found[-1])).group())
+    # 150 vectors share a cell of each table: 30 blocks, so 30 rows each.
+    assert n_lots * 40 >= 150 * 30 * 6
+
+
 def test_hadamard_is_its_own_inverse():
     x = np.random.default_rng(0).normal(size=(5, 16))
     assert np.allclose(embedding_dedup.hadamard(embedding_dedup.hadamard(x)) / 16, x)
