@@ -9,11 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.llm import (
+    cutting,
     embedding_dedup,
     licenses,
     neighbours,
     ngram_join,
     packing,
+    phrases,
     pieces,
     quality,
     sharding,
@@ -100,6 +102,15 @@ def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_cutting_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return cutting.pack(read(spark, sf_dir, "documents"), tokenizer, size=1024)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"), threshold=100, longest=5, top=2000)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": op1_neighbours,
     "op9_embedding_dedup": op9_embedding_dedup,
@@ -111,10 +122,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_packing": op7_packing,
     "op8_pieces": op8_pieces,
     "op10_ngram_join": op10_ngram_join,
+    "op12_cutting_stock": op12_cutting_stock,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLE: dict[str, str] = {
     "op2_licenses": licenses.oracle_sql(),
     "op9_embedding_dedup": embedding_dedup.ORACLE_SQL,
     "op10_ngram_join": ngram_join.ORACLE_SQL,
+    "op13_collocations": phrases.oracle_sql(),
 }
