@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from sedimenta.llm import (
     neighbours,
     ngram_join,
     packing,
+    periods,
     phrases,
     pieces,
     quality,
@@ -102,6 +105,37 @@ def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _planted(doc_id: int | None, words: np.ndarray) -> np.ndarray:
+    """The contract's repeats: a tenth of the documents become periodic from some word on."""
+    h, n = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1, len(words)
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return np.concatenate((words[:a], words[a + np.arange(n - a) % p]))
+
+
+def op11_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.runs(read(spark, sf_dir, "documents"), rewrite=_planted)
+    listed = F.arrays_zip("starts", "lengths", "periods")
+    told = F.transform(listed, lambda r: F.concat_ws(",", r["starts"], r["lengths"], r["periods"]))
+    told = F.array_join(F.transform(told, lambda r: F.concat(r, F.lit("\n"))), "")
+    # The greatest length, then the smallest start and period.
+    ordered = F.transform(listed, lambda r: F.struct(-r["lengths"], r["starts"], r["periods"]))
+    best = F.array_min(ordered)
+    found = found.withColumn("best", best).select(
+        "doc_id",
+        F.size("starts").cast("long").alias("n_runs"),
+        F.col("best")["starts"].alias("start"),
+        (-F.col("best")["col1"]).alias("length"),
+        F.col("best")["periods"].alias("period"),
+        F.sha2(told.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+    return found.withColumn("exponent_milli", F.expr("(1000 * length) div period"))
+
+
 def op12_cutting_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return cutting.pack(read(spark, sf_dir, "documents"), tokenizer, size=1024)
@@ -122,6 +156,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_packing": op7_packing,
     "op8_pieces": op8_pieces,
     "op10_ngram_join": op10_ngram_join,
+    "op11_periods": op11_periods,
     "op12_cutting_stock": op12_cutting_stock,
     "op13_collocations": op13_collocations,
 }
