@@ -8,7 +8,7 @@ harm. Rows are never brought to the driver.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Collection, Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,16 +73,13 @@ def ingest(
     sources: Mapping[str, str],
     landing: str,
     layers: Layers = Layers(),
-    single_line: Collection[str] = (),
 ) -> list[Step]:
-    """Archive each input as it arrived under its load time, then replace its raw table. Sources
-    named in `single_line` have no line breaks inside quotes, so large files of them are split."""
+    """Archive each input as it arrived under its load time, then replace its raw table."""
     ensure_database(spark, layers.raw)
 
     def load(name: str, path: str) -> DataFrame:
         csv.archive(spark, path, landing, name, load_stamp())
-        text = csv.read_text(spark, path, multi_line=name not in single_line)
-        return publish(csv.null_tokens_to_null(text), layers.raw_table(name))
+        return publish(csv.scan_raw(spark, path), layers.raw_table(name))
 
     return [
         _timed("raw", layers.raw_table(name), lambda n=name, p=path: load(n, p))
@@ -209,12 +206,11 @@ def refresh(
     landing: str,
     layers: Layers = Layers(),
     files: Mapping[str, str] = FILES,
-    single_line: Collection[str] = (),
 ) -> list[Step]:
     """Run the three stages over the files of a folder; the steps tell what became of the rows."""
     sources = {name: f"{source_folder}/{file}" for name, file in files.items()}
     return [
-        *ingest(spark, sources, landing, layers, single_line),
+        *ingest(spark, sources, landing, layers),
         *build_stage(spark, layers),
         *build_analytics(spark, layers),
     ]

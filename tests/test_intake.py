@@ -1,0 +1,79 @@
+"""CSV with line breaks in quotes, read in many tasks; the archive byte for byte."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from sedimenta.sources import csv
+
+
+@pytest.fixture
+def small_splits(spark):
+    name = "spark.sql.files.maxPartitionBytes"
+    spark.conf.set(name, "97")
+    yield
+    spark.conf.unset(name)
+
+
+def one_task(spark, path):
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
+    return reader.option("multiLine", True).option("enforceSchema", False).csv(path)
+
+
+def field(rng):
+    plain = "".join(rng.choices("abé ;'", k=rng.randint(0, 6)))
+    kind = rng.random()
+    if kind < 0.5:
+        return plain
+    if kind < 0.6:
+        return f'{plain}x"y'  # a quote that opens nothing
+    inner = "".join(rng.choices(["a", '""', ",", "\n", "\n\n", "é", "long words "], k=rng.randint(0, 40)))
+    return f'"{inner}"'
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_any_split_finds_its_records(spark, tmp_path, small_splits, seed):
+    rng = random.Random(seed)
+    for name in ("one", "two"):
+        records = [",".join([str(k), field(rng), field(rng)]) for k in range(rng.choice([0, 1, 80]))]
+        end = "\r\n" if seed % 2 else "\n"
+        body = end.join(["k,x,y", *records]) + rng.choice(["", end])
+        (tmp_path / f"{name}.csv").write_bytes(body.encode())
+    found, expected = csv.read_text(spark, str(tmp_path)), one_task(spark, str(tmp_path))
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert rows(found) == rows(expected)
+    assert found.count() == expected.count()
+
+
+def test_a_file_is_read_by_many_tasks(spark, tmp_path, small_splits):
+    lines = ["k,x", *(f'{k},"two\nlines {k}"' for k in range(200)), f'200,"{"far" * 200}\n{"away" * 200}"']
+    (tmp_path / "t.csv").write_text("\n".join(lines) + "\n")
+    records = csv.read_records(spark, str(tmp_path / "t.csv"))
+    text = spark.read.option("lineSep", "\n").text(str(tmp_path / "t.csv"))
+    assert text.rdd.getNumPartitions() > 20
+    assert records.filter("is_first").select("record").collect() == [("k,x",)]
+    rows = {r.k: r.x for r in csv.read_text(spark, str(tmp_path / "t.csv")).collect()}
+    assert rows == {str(k): f"two\nlines {k}" for k in range(200)} | {"200": f"{'far' * 200}\n{'away' * 200}"}
+
+
+def test_lines_without_quoted_breaks_are_records(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('a,b\n1,"x,y"\n2,z\n')
+    records = csv.read_records(spark, str(tmp_path / "t.csv"))
+    whole = [r.record for r in records.orderBy("record").collect()]
+    assert whole == ['1,"x,y"', "2,z", "a,b"]
+
+
+def test_empty_and_missing_rows(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('a,b\n\n"",\n,"\n"\n\n1\n')
+    rows = [tuple(r) for r in csv.read_text(spark, str(tmp_path / "t.csv")).collect()]
+    assert sorted(rows, key=str) == sorted([tuple(r) for r in one_task(spark, str(tmp_path / "t.csv")).collect()], key=str)
+    (tmp_path / "none.csv").write_text("a,b\n")
+    assert csv.read_text(spark, str(tmp_path / "none.csv")).count() == 0
+
+
+def test_extra_column_is_named_in_no_result(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("file,split,at,record,row,line\n1,2,3,4,5,6\n")
+    rows = csv.read_text(spark, str(tmp_path / "t.csv"))
+    assert rows.columns == ["file", "split", "at", "record", "row", "line"]
+    assert rows.select(F.col("record")).collect() == [("4",)]
