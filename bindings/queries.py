@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,10 +11,11 @@ from pyspark.sql.types import StructType
 
 from bindings import tables as t
 from sedimenta.functions import dates, numbers, text
-from sedimenta.operators import joins, profile, rows, upsert
+from sedimenta.operators import joins, profile, rows
 from sedimenta.operators.joins import Parent
 from sedimenta.plans import clean, model, questions
 from sedimenta.schemas import PRODUCTS
+from sedimenta.sources import tables
 
 col = F.col
 
@@ -277,7 +279,10 @@ def merge_upsert(spark, sf):
         .withColumn("c_acctbal", col("c_acctbal") + 1000)
         .withColumn("c_mktsegment", F.lit("MERGED"))
     )
-    return upsert.merge_rows(target, batch, "c_custkey")
+    name = f"merge_upsert_{uuid4().hex}"
+    for part in (target, batch):  # scans of files, so they need not be held
+        tables.upsert(part, name, "c_custkey", bucket_rows=10_000)
+    return spark.table(name)
 
 
 # --- cleaning --------------------------------------------------------------------------------

@@ -104,7 +104,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     first_line = F.min(F.when(F.col("split") == 0, F.col("first_at"))).over(Window.partitionBy("file"))
     splits = splits.select("file", "split", "opens", "state", "after", "lead", first_line.alias("first_line"))
 
-    known = lines.join(splits, ["file", "split"])
+    # One row for each split, a millionth of what the split holds, so lines need not move to it.
+    known = lines.join(F.broadcast(splits), ["file", "split"])
     # Written so that what is asked of a record is never asked of a line before its split is known.
     record = F.when(~F.col("opens") & (F.col("state") == 0), F.col("line")).alias("record")
     whole = known.filter("not opens and state = 0")

@@ -9,7 +9,9 @@ the buckets it touches.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 from datetime import datetime, timezone
 from uuid import uuid4
 
@@ -117,16 +119,50 @@ def accepts_merge(spark: SparkSession, name: str) -> bool:
     return described.get("Type") != "VIEW" and described.get("Provider", "hive").lower() not in plain
 
 
-# A keyed table is cut into this many buckets by a hash of its key. A merge writes the buckets that
-# the batch touches and leaves the files of the others as they are.
-BUCKETS = 64
+# A keyed table is cut into buckets by the low bits of a hash of its key. A merge writes the buckets
+# that the batch touches and leaves the files of the others as they are. A bucket that would pass
+# this many rows is parted by the next bits as it is written, so buckets grow in number and not in
+# size, and a batch of some keys rewrites a share of the table that shrinks as the table grows.
+BUCKET_ROWS = 4_000_000
 
 _KEYED, _KEYED_BEFORE = "keyed_buckets", "keyed_buckets_before"
 _BUCKET = "_bucket"
+# Catalogs bound the length of a property, so a long list is told in several.
+_PROPERTY_CHARS = 3_000
 
 
-def _bucket_of(key: str) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+class ChangedMeanwhile(RuntimeError):
+    """Another load has published the table since this one read it; run the merge again."""
+
+
+@dataclass(frozen=True)
+class Bucket:
+    """Rows whose key hashes end in `index`, `depth` bits long; no version while there are none."""
+
+    depth: int
+    index: int
+    version: str = ""
+    rows: int = 0
+
+    @property
+    def name(self) -> str:
+        return f"{self.depth}x{self.index}"
+
+    def parted(self, times: int) -> list[Bucket]:
+        return [Bucket(self.depth + times, self.index + (k << self.depth)) for k in range(1 << times)]
+
+
+def _bucket_of(key: str, buckets: Iterable[Bucket]) -> Column:
+    """The name of the bucket that holds a key; every key falls into one of a table's buckets."""
+    by_depth: dict[int, list[str]] = {}
+    for bucket in buckets:
+        by_depth.setdefault(bucket.depth, []).append(bucket.name)
+    hashed = F.xxhash64(key)
+    names = [
+        (F.concat(F.lit(f"{depth}x"), F.pmod(hashed, F.lit(1 << depth)).cast("string")), known)
+        for depth, known in sorted(by_depth.items())
+    ]
+    return F.coalesce(*[F.when(name.isin(known), name) for name, known in names])
 
 
 def _root(spark: SparkSession, name: str) -> str:
@@ -135,45 +171,57 @@ def _root(spark: SparkSession, name: str) -> str:
     return f"{location}/{table}__buckets"
 
 
-def _buckets(spark: SparkSession, name: str, told_by: str = _KEYED) -> dict[int, str]:
-    """The version that holds each bucket of a keyed table."""
-    told = _properties(spark, name).get(told_by, "")
-    return {int(b): version for b, version in (entry.split(":") for entry in told.split(",") if entry)}
+def _buckets(spark: SparkSession, name: str, told_by: str = _KEYED) -> list[Bucket]:
+    """The buckets of a keyed table, each with the version that holds it."""
+    properties, told = _properties(spark, name), ""
+    while (part := properties.get(f"{told_by}.{len(told) // _PROPERTY_CHARS}")) is not None:
+        told += part
+        if len(part) < _PROPERTY_CHARS:
+            break
+    entries = [entry.split(":") for entry in told.split(",") if entry]
+    return [Bucket(*map(int, bucket.split("x")), version, int(n)) for bucket, version, n in entries]
 
 
 def _point(
-    spark: SparkSession, name: str, schema: StructType, buckets: dict[int, str], before: dict[int, str]
+    spark: SparkSession, name: str, schema: StructType, buckets: list[Bucket], before: list[Bucket]
 ) -> None:
-    """Point the table's view at a version of each bucket, all at once."""
+    """Point the table's view at a version of each bucket, all at once, unless it has been pointed
+    elsewhere than at `before` since."""
+    if _buckets(spark, name) != before:
+        raise ChangedMeanwhile(name)
     columns = ", ".join(f"`{f.name}`" for f in schema)
-    if buckets:
-        paths = ",".join(f"{version}/{_BUCKET}={b}" for b, version in sorted(buckets.items()))
+    held = [b for b in buckets if b.rows]
+    if held:
+        paths = ",".join(f"{b.version}/{_BUCKET}={b.name}" for b in held)
         body = f"SELECT {columns} FROM parquet.`{_root(spark, name)}/{{{paths}}}`"
     else:
         nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema)
         body = f"SELECT {nulls} WHERE false"
-    told = {
-        key: ",".join(f"{b}:{version}" for b, version in sorted(held.items()))
-        for key, held in ((_KEYED, buckets), (_KEYED_BEFORE, before))
-    }
-    listed = ", ".join(f"'{key}' = '{value}'" for key, value in told.items())
-    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ({listed}) AS {body}")
+    told = []
+    for key, listed in ((_KEYED, buckets), (_KEYED_BEFORE, before)):
+        text = ",".join(f"{b.name}:{b.version}:{b.rows}" for b in listed)
+        parts = [text[at : at + _PROPERTY_CHARS] for at in range(0, len(text) + 1, _PROPERTY_CHARS)]
+        told += [f"'{key}.{n}' = '{part}'" for n, part in enumerate(parts)]
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ({', '.join(told)}) AS {body}")
 
 
 def ensure_keyed(spark: SparkSession, name: str, schema: StructType) -> DataFrame:
     """The keyed table, created empty with an explicit schema when it does not exist."""
     if not spark.catalog.tableExists(name):
-        _point(spark, name, schema, {}, {})
+        _point(spark, name, schema, [], [])
     return spark.table(name)
 
 
-def upsert(held: DataFrame, name: str, key: str) -> DataFrame:
+def upsert(held: DataFrame, name: str, key: str, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Merge a held batch into a keyed table by primary key; running it twice changes nothing more.
 
     A table that accepts MERGE does it itself. Otherwise only the buckets that hold keys of the
-    batch are read, merged and written, and then the view moves to them; files of other buckets
-    stay. Replaced buckets stay too, for readers that have started, until `drop_replaced`. The
-    batch is read several times, so it should be a scan (see `hold`), not a plan.
+    batch are read, merged and written, parted where they grow beyond `bucket_rows`, and then the
+    view moves to them; files of other buckets stay. Buckets replaced by the merge before this one
+    are deleted, those replaced now stay for readers that have started. Of two loads at once the
+    later one to finish is refused (`ChangedMeanwhile`) and changes nothing. The batch is read
+    several times, so it should be a scan (see `hold`), not a plan. An empty batch changes nothing;
+    a key that repeats in the batch is refused; rows without a key are all kept, as no key matches.
     """
     spark = held.sparkSession
     require_unique(held, key)
@@ -181,23 +229,39 @@ def upsert(held: DataFrame, name: str, key: str) -> DataFrame:
         merge_native(name, held, key)
         return spark.table(name)
     target = ensure_keyed(spark, name, held.schema)
-    # At most BUCKETS numbers.
-    touched = {r[0] for r in held.select(_bucket_of(key)).distinct().collect()}
+    before = _buckets(spark, name)
+    buckets = {b.name: b for b in before} or {"0x0": Bucket(0, 0)}
+    # One row for each bucket that the batch touches.
+    touched = dict(held.groupBy(_bucket_of(key, buckets.values())).count().collect())
     if not touched:
         return target
-    buckets = _buckets(spark, name)
-    paths = [f"{_root(spark, name)}/{buckets[b]}/{_BUCKET}={b}" for b in sorted(touched & buckets.keys())]
+    written: list[Bucket] = []
+    for told, n in touched.items():
+        rows_after = buckets[told].rows + n
+        written += buckets[told].parted(max(0, math.ceil(math.log2(rows_after / bucket_rows))))
+    root, version = _root(spark, name), f"v{_unique()}"
+    paths = [f"{root}/{b.version}/{_BUCKET}={b.name}" for b in map(buckets.get, touched) if b.rows]
     rows = held
     if paths:
         rows = merge_rows(spark.read.schema(target.schema).parquet(*paths), held, key)
-    rows = rows.select(*target.columns, _bucket_of(key).alias(_BUCKET))
-    version = f"v{_unique()}"
+    rows = rows.select(*target.columns, _bucket_of(key, written).alias(_BUCKET))
     rows = spark.sql(f"SELECT /*+ REBALANCE({_BUCKET}) */ * FROM {{rows}}", rows=rows)
-    rows.write.mode("errorifexists").partitionBy(_BUCKET).parquet(f"{_root(spark, name)}/{version}")
+    rows.write.mode("errorifexists").partitionBy(_BUCKET).parquet(f"{root}/{version}")
+    # Answered from the footers and the folders' names.
+    found = spark.read.schema(f"{_BUCKET} string").parquet(f"{root}/{version}").groupBy(_BUCKET).count()
+    counts = dict(found.collect())
+    now = [b for b in before if b.name not in touched]
+    now += [
+        Bucket(b.depth, b.index, version, counts[b.name]) if b.name in counts else b for b in written
+    ]
     outdated = _buckets(spark, name, _KEYED_BEFORE)
-    now = buckets | dict.fromkeys(touched, version)
-    _point(spark, name, target.schema, now, buckets)
-    for bucket, held_before in outdated.items():
-        if held_before not in (buckets.get(bucket), now[bucket]):
-            release(spark, f"{_root(spark, name)}/{held_before}/{_BUCKET}={bucket}")
+    try:
+        _point(spark, name, target.schema, now, before)
+    except ChangedMeanwhile:
+        release(spark, f"{root}/{version}")
+        raise
+    in_use = {(b.version, b.name) for b in (*before, *now)}
+    for bucket in outdated:
+        if bucket.rows and (bucket.version, bucket.name) not in in_use:
+            release(spark, f"{root}/{bucket.version}/{_BUCKET}={bucket.name}")
     return spark.table(name)

@@ -55,19 +55,21 @@ def body(df, *without):
 def test_scan_is_text_with_missing_as_null(spark, extracts):
     raw = csv.scan_raw(spark, str(extracts / "customers.csv"))
     assert {f.dataType.simpleString() for f in raw.schema} == {"string"}
-    rows = raw.collect()
-    assert rows[0].last_name == "Gómez, Ruiz"
-    assert (rows[2].last_name, rows[2].phone, rows[2].loyalty_tier) == (None, None, None)
-    assert rows[3] == (None,) * 10
-    products = csv.scan_raw(spark, str(extracts / "products.csv")).collect()
-    assert (products[1].product_name, products[1].cost_usd) == ('Libro "Uno"', None)
+    rows = {(r.customer_id, r.registration_date): r for r in raw.collect()}
+    assert len(rows) == 4
+    assert rows["1", "2024/01/05"].last_name == "Gómez, Ruiz"
+    luis = rows["2", "2024-02-01"]
+    assert (luis.last_name, luis.phone, luis.loyalty_tier) == (None, None, None)
+    assert rows[None, None] == (None,) * 10
+    products = {r.product_id: r for r in csv.scan_raw(spark, str(extracts / "products.csv")).collect()}
+    assert (products["11"].product_name, products["11"].cost_usd) == ('Libro "Uno"', None)
 
 
 @pytest.mark.parametrize("token", csv.NULL_TOKENS)
 def test_missing_tokens(spark, tmp_path, token):
     (tmp_path / "t.csv").write_text(f'a,b\n{token},x\n"{token}",y\n {token}.,z\n', encoding="utf-8")
     rows = csv.scan_raw(spark, str(tmp_path / "t.csv")).collect()
-    assert [r.a for r in rows] == [None, None, f" {token}."]
+    assert {r.b: r.a for r in rows} == {"x": None, "y": None, "z": f" {token}."}
 
 
 def test_files_with_another_header_are_refused(spark, tmp_path):
@@ -141,18 +143,18 @@ def test_a_merge_leaves_untouched_buckets_as_they_are(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS keyed")
     rows = spark.range(1000).select("id", F.lit("a").alias("v"))
     held, path = tables.hold(rows, "keyed")
-    tables.upsert(held, "keyed.t", "id")
+    tables.upsert(held, "keyed.t", "id", bucket_rows=40)
     before = bucket_files(spark, "keyed.t")
-    assert len(before) == tables.BUCKETS
+    assert len(before) == 32
     batch, other = tables.hold(spark.createDataFrame([(7, "b"), (5000, "c")], "id long, v string"), "keyed")
     for _ in range(3):
-        merged = tables.upsert(batch, "keyed.t", "id")
+        merged = tables.upsert(batch, "keyed.t", "id", bucket_rows=60)
         assert merged.count() == 1001
         assert {r.id: r.v for r in merged.filter("v <> 'a'").collect()} == {7: "b", 5000: "c"}
     after = bucket_files(spark, "keyed.t")
     kept = {p for p in before if p in after}
     # At most two buckets were touched, and their first files are gone by now.
-    assert len(kept) >= tables.BUCKETS - 2 and all(after[p] == before[p] for p in kept)
+    assert len(kept) >= 30 and all(after[p] == before[p] for p in kept)
     assert len(after) <= len(kept) + 2 * 2
     empty, third = tables.hold(batch.limit(0), "keyed")
     assert tables.upsert(empty, "keyed.t", "id").count() == 1001
@@ -160,6 +162,74 @@ def test_a_merge_leaves_untouched_buckets_as_they_are(spark):
         tables.release(spark, p)
 
 
+def test_buckets_grow_in_number_one_by_one(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS growing")
+    total = 0
+    for step in range(4):
+        many = 300 * 4**step
+        batch = spark.range(total, total + many).select("id", F.lit(step).alias("v"))
+        held, path = tables.hold(batch, "growing")
+        merged = tables.upsert(held, "growing.t", "id", bucket_rows=200)
+        tables.release(spark, path)
+        total += many
+        assert (merged.count(), merged.select("id").distinct().count()) == (total, total)
+        buckets = tables._buckets(spark, "growing.t")
+        assert sum(b.rows for b in buckets) == total
+        assert max(b.rows for b in buckets) <= 300  # hashes part a bucket about in half
+        assert sum(2.0**-b.depth for b in buckets) == 1.0  # every hash falls into one of them
+    # A small batch rewrites a small share of a table that has grown.
+    before = bucket_files(spark, "growing.t")
+    small, path = tables.hold(spark.range(5).select("id", F.lit(9).alias("v")), "growing")
+    merged = tables.upsert(small, "growing.t", "id", bucket_rows=200)
+    again = set(bucket_files(spark, "growing.t")) - set(before)
+    assert merged.filter("v = 9").count() == 5 and merged.count() == total
+    assert len(again) <= 10 < len(before) / 10
+    # One bucket alone is parted where its keys alone come.
+    deepest = max(b.depth for b in tables._buckets(spark, "growing.t"))
+    ids = [r.id for r in spark.range(10**6, 10**6 + 90_000).filter(F.pmod(F.xxhash64("id"), F.lit(1 << 8)) == 3).collect()]
+    held, other = tables.hold(spark.createDataFrame([(i, 1) for i in ids], "id long, v int"), "growing")
+    count = len(tables._buckets(spark, "growing.t"))
+    tables.upsert(held, "growing.t", "id", bucket_rows=200)
+    buckets = tables._buckets(spark, "growing.t")
+    assert max(b.depth for b in buckets) > deepest and len(buckets) - count < 10
+    for p in (path, other):
+        tables.release(spark, p)
+
+
+def test_of_two_loads_at_once_the_later_is_refused(spark, monkeypatch):
+    spark.sql("CREATE DATABASE IF NOT EXISTS racing")
+    one, first = tables.hold(spark.createDataFrame([(1, "one")], "id long, v string"), "racing")
+    two, second = tables.hold(spark.createDataFrame([(2, "two")], "id long, v string"), "racing")
+    tables.ensure_keyed(spark, "racing.t", one.schema)
+    point, started = tables._point, []
+
+    def overtaken(*args):
+        if not started:
+            started.append(True)
+            tables.upsert(two, "racing.t", "id")  # another load ends while this one writes
+        return point(*args)
+
+    monkeypatch.setattr(tables, "_point", overtaken)
+    with pytest.raises(tables.ChangedMeanwhile):
+        tables.upsert(one, "racing.t", "id")
+    assert [tuple(r) for r in spark.table("racing.t").collect()] == [(2, "two")]
+    root = Path(tables._root(spark, "racing.t").removeprefix("file:"))
+    assert len([p for p in root.iterdir() if p.is_dir()]) == 1  # nothing of the refused load is left
+    assert tables.upsert(one, "racing.t", "id").count() == 2
+    for p in (first, second):
+        tables.release(spark, p)
+
+
+def test_long_lists_of_buckets_are_told_in_parts(spark, monkeypatch):
+    spark.sql("CREATE DATABASE IF NOT EXISTS parts")
+    monkeypatch.setattr(tables, "_PROPERTY_CHARS", 50)
+    held, path = tables.hold(spark.range(500).select("id", F.lit(1).alias("v")), "parts")
+    for _ in range(2):
+        assert tables.upsert(held, "parts.t", "id", bucket_rows=50).count() == 500
+    assert sum(b.rows for b in tables._buckets(spark, "parts.t")) == 500
+    tables.release(spark, path)
+
+
 def test_refresh_end_to_end_and_again(spark, extracts, tmp_path):
     names = layers("e2e")
     landing = str(tmp_path / "landing")
