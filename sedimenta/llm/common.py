@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 
 DOC_ID, TEXT = "doc_id", "text"
 
+# Workers return the memory of large arrays as soon as these are freed, so what one operator's
+# tasks needed at their peak does not stay taken while the next one's run in the same processes.
+_WORKER_MEMORY = {"MALLOC_MMAP_THRESHOLD_": "2097152", "MALLOC_TRIM_THRESHOLD_": "16777216", "ARROW_DEFAULT_MEMORY_POOL": "system"}
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reach_workers(spark)
@@ -23,12 +27,24 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def reach_workers(spark: SparkSession) -> None:
     """Let Python workers import this library from where the driver has it."""
+    spark.sparkContext.environment.update(_WORKER_MEMORY)
     root = str(Path(__file__).resolve().parents[2])
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
 
 
+_KEPT: dict[str, object] = {}
+
+
+def kept(name: str, make: Callable[[], object]):
+    """What a worker process keeps between tasks, of one operator at a time."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
 def documents(docs: DataFrame, *more: Column) -> DataFrame:
     """`doc_id` and whole `text` (null: empty) and nothing else but `more`, whatever the table holds."""
     text = F.coalesce(F.col(TEXT), F.lit("")).alias(TEXT)

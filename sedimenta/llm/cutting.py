@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import documents, segment_ranges, staged
+from sedimenta.llm.common import documents, kept, segment_ranges, staged
 from sedimenta.llm.packing import text_batches
 
 # Fixed value: the id put behind a document so that its end can be seen.
@@ -104,14 +104,9 @@ def _ranks(told: dict) -> dict[bytes, int] | None:
     return {bytes(byte[c] for c in token): at for token, at in vocabulary.items()}
 
 
-_TOKENS: dict[str, ByteTokens] = {}
-
-
 def tokens(path: str) -> ByteTokens:
     """One tokenizer per worker process, kept between tasks."""
-    if path not in _TOKENS:
-        _TOKENS[path] = ByteTokens(path)
-    return _TOKENS[path]
+    return kept(f"byte pairs of {path}", lambda: ByteTokens(path))
 
 
 def pieces(docs: DataFrame, tokenizer: str, size: int = SIZE) -> DataFrame:

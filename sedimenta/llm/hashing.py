@@ -6,7 +6,9 @@ from collections.abc import Iterator
 
 import numpy as np
 
-HASHED_BYTES = 1_500_000
+from sedimenta.llm.common import kept
+
+HASHED_BYTES = 600_000
 
 
 class Powers:
@@ -36,14 +38,9 @@ class Powers:
         return (sums[end] - sums[start]) * self.down[start]
 
 
-_POWERS: list[Powers] = []
-
-
 def powers() -> Powers:
     """One table per worker process."""
-    if not _POWERS:
-        _POWERS.append(Powers())
-    return _POWERS[0]
+    return kept("powers", Powers)
 
 
 def parts(sizes: list[int]) -> Iterator[tuple[int, int]]:

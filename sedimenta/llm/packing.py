@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import documents, gapless_rank, segment_ranges, staged
+from sedimenta.llm.common import documents, gapless_rank, kept, segment_ranges, staged
 
 # Ids appended to a document so that its end can be seen.
 END_ID = 1
@@ -99,14 +99,9 @@ class WordIds(dict):
         return ids, np.diff(ends, prepend=0)
 
 
-_ENCODERS: dict[str, WordIds] = {}
-
-
 def encoder(path: str) -> WordIds:
     """One encoder per worker process, kept between tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordIds(path)
-    return _ENCODERS[path]
+    return kept(f"words of {path}", lambda: WordIds(path))
 
 
 def text_batches(batches: Iterator[pd.DataFrame], chars: int) -> Iterator[pd.DataFrame]:

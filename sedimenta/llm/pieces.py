@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.llm import digits
-from sedimenta.llm.common import DOC_ID, TEXT, documents, segment_ranges, staged
+from sedimenta.llm.common import DOC_ID, TEXT, documents, kept, segment_ranges, staged
 
 SPACE = "▁"  # stands for a blank in pieces
 CACHE_ENTRIES = 900_000
@@ -198,14 +198,9 @@ def mark(text: str, first: bool) -> str:
     return SPACE + marked if first else marked
 
 
-_VOCABULARIES: dict[str, Vocabulary] = {}
-
-
 def vocabulary(path: str) -> Vocabulary:
     """One per worker process."""
-    if path not in _VOCABULARIES:
-        _VOCABULARIES[path] = Vocabulary(path)
-    return _VOCABULARIES[path]
+    return kept(f"pieces of {path}", lambda: Vocabulary(path))
 
 
 def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import DOC_ID, TEXT, documents, staged
+from sedimenta.llm.common import DOC_ID, TEXT, documents, kept, staged
 
 WORD = re.compile(r"[^\W_]+")
 BUCKETS = 1 << 20
@@ -220,16 +220,10 @@ class WordScores(dict):
         return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
 
 
-_SCORES: dict[str, WordScores] = {}
-
-
 def word_scores(name: str, model: Model) -> WordScores:
     """The scores of the words met so far, kept between the tasks of a worker process for the
     model in use."""
-    if name not in _SCORES:
-        _SCORES.clear()
-        _SCORES[name] = WordScores(model)
-    return _SCORES[name]
+    return kept(name, lambda: WordScores(model))
 
 
 def scorer(spark: SparkSession, model: Model) -> Callable[[Column], Column]:

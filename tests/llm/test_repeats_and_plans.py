@@ -252,3 +252,47 @@ def test_no_documents(llm, empty):
     assert cutting.pack(empty, TOKENIZER).count() == 0
     none = llm.createDataFrame([], "doc_id long, text string, lang string")
     assert phrases.collocations(none).count() == 0
+
+
+def thue_morse(n, a="a", b="b"):
+    return "".join(b if bin(k).count("1") % 2 else a for k in range(n))
+
+
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_long_regular_words_are_told_apart(llm, n):
+    from sedimenta.llm import ngram_join
+
+    words = [thue_morse(n), thue_morse(n, "b", "a")]
+    hashes = [ngram_join.shingles([w.encode()])[0].tolist() for w in words]
+    assert hashes[0] != hashes[1]
+    found = ngram_join.join_classes(make_docs(llm, list(enumerate(words, 1))))
+    assert sorted((r.doc_id, r.component_id) for r in found.collect()) == [(1, 1), (2, 2)]
+
+
+def test_copies_of_a_row_are_cut_once(llm):
+    from sedimenta.llm import suffixes
+
+    rng = random.Random(2)
+    text = "".join(rng.choices("abcdefgh ", k=400))
+    many = llm.range(3000).selectExpr("cast(NULL as long) as doc_id", f"'{text}' as text")
+    first = llm.createDataFrame([(1, "x" + text[100:200])], "doc_id long, text string")
+    found = suffixes.remove_repeats(many.unionByName(first))
+    rows = found.groupBy("doc_id", "n_removed").count().collect()
+    assert sorted(map(tuple, rows), key=str) == [(1, 0, 1), (None, 100, 3000)]
+    marks = suffixes.first_digit(
+        many.selectExpr(f"{2**63 - 1} as doc_id", "xxhash64(text) as variant", "text").unionByName(
+            first.selectExpr("doc_id", "0 as variant", "text")
+        ),
+        1_200_000,
+    )
+    assert marks.count() <= 100 * many.rdd.getNumPartitions()
+
+
+def test_texts_that_share_a_gram_but_no_window_keep_every_byte(llm):
+    from sedimenta.llm import suffixes
+
+    rng = random.Random(9)
+    around = lambda k: "".join(rng.choices("klmnopqrst", k=k))
+    rows = [(k, around(30) + "the same twenty byte" + around(30)) for k in range(20_000)]
+    frame = llm.createDataFrame(rows, "doc_id long, text string")
+    assert suffixes.remove_repeats(frame).filter("n_removed > 0").count() == 0
