@@ -122,19 +122,25 @@ def dq_checks(
 ) -> DataFrame:
     """Rule violations, missing parents and repeated keys as (check_name, violations).
 
-    Parents are looked up on the way, so rules and references share one pass.
+    Parents are looked up on the way, and rows are first reduced to one for each key, with its
+    copies and what they break, so that one pass over the table tells it all. A key that fills a
+    third of the table is one row of each task by then.
     """
     child, rules = df, dict(rules)
     for i, (name, parent) in enumerate(parents.items()):
         known = parent.keys().distinct().withColumn(f"_known_{i}", F.lit(True))
         child = lookup(child, known, [parent.foreign])
         rules[name] = F.col(f"_known_{i}").isNull()
-    repeated = drop_null_keys(df, [key]).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return count_violations(child, rules).unionByName(
-        repeated.agg(
-            F.lit("repeated_key").alias("check_name"),
-            F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("violations"),
-        )
+    broken = [F.count_if(rule).alias(f"_broken_{i}") for i, rule in enumerate(rules.values())]
+    by_key = child.groupBy(F.col(f"`{key}`").alias("_key")).agg(F.count(F.lit(1)).alias("_n"), *broken)
+    found = {name: F.sum(f"_broken_{i}") for i, name in enumerate(rules)}
+    found["repeated_key"] = F.sum(F.when(F.col("_key").isNotNull(), F.col("_n") - 1))
+    return _findings(
+        by_key,
+        [
+            {"check_name": F.lit(name), "violations": F.coalesce(n, F.lit(0))}
+            for name, n in found.items()
+        ],
     )
 
 

@@ -19,7 +19,7 @@ from sedimenta.operators.profile import load_metrics
 from sedimenta.operators.rows import conform, stamp
 from sedimenta.plans import clean, model
 from sedimenta.schemas import DIM_CUSTOMER, DIM_PRODUCT, FACT_SALES, TABLES, TableSpec
-from sedimenta.sources import csv
+from sedimenta.sources import csv, tables
 from sedimenta.sources.tables import (
     ensure_database,
     ensure_keyed,
@@ -27,6 +27,7 @@ from sedimenta.sources.tables import (
     load_stamp,
     publish,
     release,
+    replace_partitions,
     upsert,
 )
 
@@ -189,10 +190,72 @@ def run_models(spark: SparkSession, models: Iterable[Model]) -> list[Step]:
     ]
 
 
+def _stamps(spark: SparkSession, layers: Layers) -> dict[str, str]:
+    """When the newest row of each table that the fact is made of was merged."""
+    newest = {}
+    for name in ("orders", "products"):
+        last = spark.table(layers.stage_table(name)).agg(F.max(TABLES[name].stamp).cast("string"))
+        newest[name] = last.first()[0] or "0001-01-01"
+    return newest
+
+
+def changed_months(spark: SparkSession, layers: Layers, since: Mapping[str, str]) -> DataFrame:
+    """Months (`mes_fecha`, null for sales without a date) in which the fact would be another if it
+    were built anew, given the stage rows merged after `since`.
+
+    New and old rows of the orders merged since then are told apart by 128-bit fingerprints, so an
+    order that came again as it was changes nothing; an order that moved changes both months. A
+    product whose category or cost is another than in the fact changes the months it was sold in.
+    """
+    old = spark.table(layers.model("fact_venta"))
+
+    def merged(name: str) -> DataFrame:
+        spec = TABLES[name]
+        return spark.table(layers.stage_table(name)).filter(
+            F.col(spec.stamp) > F.lit(since[name]).cast("timestamp")
+        )
+
+    values = [c for c in FACT_SALES.fieldNames() if c != "analytics_updated_at"]
+    prints = [F.xxhash64(F.lit(k), *values).alias(f"print_{k}") for k in (1, 2)]
+    new = conform(model.fact_sales(merged("orders"), spark.table(layers.stage_table("products"))), FACT_SALES)
+    new, known = new.select("order_id", "mes_fecha", *prints), old.select("order_id", *prints)
+    changed = new.join(known, ["order_id", "print_1", "print_2"], "left_anti")
+    left = old.join(changed.select("order_id"), "order_id", "left_semi")
+    products = merged("products").select(
+        "product_id", F.col("category").alias("now_category"), F.col("cost_usd").alias("now_cost")
+    )
+    same = F.col("product_category").eqNullSafe(F.col("now_category"))
+    same = same & F.col("unit_cost_usd").eqNullSafe(F.col("now_cost"))
+    sold = old.join(products, "product_id").filter(~same)
+    months = [rows.select("mes_fecha") for rows in (changed, left, sold)]
+    return months[0].unionByName(months[1]).unionByName(months[2]).distinct()
+
+
+def refresh_fact(spark: SparkSession, fact: Model, layers: Layers = Layers()) -> DataFrame:
+    """Bring the fact up to the stage tables, writing only the months that changed.
+
+    What was merged since the fact was last brought up is known from the rows' stamps, also after
+    a load that failed in between; a fact that tells nothing about that is built whole.
+    """
+    upto = _stamps(spark, layers)
+    since = tables.marks(spark, fact.name)
+    if upto.keys() <= since.keys():
+        # At most as many values as there are months.
+        months = [row[0] for row in changed_months(spark, layers, since).collect()]
+        if months:
+            replace_partitions(fact.rows(spark), fact.name, "mes_fecha", months)
+    else:
+        publish(fact.rows(spark), fact.name, fact.partition_by)
+    tables.note(spark, fact.name, **upto)
+    return spark.table(fact.name)
+
+
 def build_analytics(spark: SparkSession, layers: Layers = Layers()) -> list[Step]:
-    """The star schema and the report view over it."""
+    """The star schema and the report view over it; of the fact, the months that changed."""
     ensure_database(spark, layers.analytics)
-    steps = run_models(spark, star_schema(layers))
+    *dimensions, fact = star_schema(layers)
+    steps = run_models(spark, dimensions)
+    steps.append(_timed("analytics", fact.name, lambda: refresh_fact(spark, fact, layers)))
     report = model.report_view_sql(
         *[layers.model(n) for n in ("fact_venta", "dim_producto", "dim_cliente")]
     )

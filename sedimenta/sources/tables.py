@@ -23,6 +23,7 @@ from sedimenta.operators.upsert import merge_native, merge_rows, require_unique
 
 _VERSION_PROPERTY = "current_version"
 _PREVIOUS_PROPERTY = "previous_version"
+_NOTE = "note."
 _SEPARATOR = "__v"
 
 
@@ -78,6 +79,51 @@ def publish(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataF
     return spark.table(name)
 
 
+def marks(spark: SparkSession, name: str) -> dict[str, str]:
+    """What a load has noted about a layer table (see `note`)."""
+    found = _properties(spark, name)
+    return {key.removeprefix(_NOTE): value for key, value in found.items() if key.startswith(_NOTE)}
+
+
+def note(spark: SparkSession, name: str, **told: str) -> None:
+    """Note something about a layer table; the next `publish` forgets it."""
+    listed = ", ".join(f"'{_NOTE}{key}' = '{value}'" for key, value in told.items())
+    spark.sql(f"ALTER VIEW {name} SET TBLPROPERTIES ({listed})")
+
+
+def replace_partitions(rows: DataFrame, name: str, column: str, values: Sequence) -> DataFrame:
+    """Replace some partitions of a published table by the rows of `rows` that belong to them.
+
+    `values` are the partitions (None for rows without a value). Files of all others stay as they
+    are; a partition that `rows` has nothing for is gone afterwards. `rows` must not read the table.
+    """
+    spark = rows.sparkSession
+    version = current_version(spark, name)
+    known = [v for v in values if v is not None]
+    wanted = F.col(column).isin(known) if known else F.lit(False)
+    if None in values:
+        wanted = F.col(column).isNull() | wanted
+    rows = rows.filter(F.coalesce(wanted, F.lit(False))).select(*spark.table(version).columns)
+    rows = spark.sql(f"SELECT /*+ REBALANCE(`{column}`) */ * FROM {{rows}}", rows=rows)
+    # At most as many values as were given.
+    filled = {r[0] for r in rows.select(column).distinct().collect()}
+    mode = "spark.sql.sources.partitionOverwriteMode"  # a setting of the session, not of a write by name
+    usual = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        rows.write.insertInto(version, overwrite=True)
+    finally:
+        spark.conf.set(mode, usual)
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {version}").filter("col_name = 'Location'")
+    location = described.first().data_type
+    for value in set(values) - filled:
+        folder = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+        release(spark, f"{location}/{column}={folder}")
+    spark.catalog.refreshTable(version)
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
 def ensure_table(spark: SparkSession, name: str, schema: StructType) -> DataFrame:
     """The table, created empty with an explicit schema when it does not exist."""
     if not spark.catalog.tableExists(name):

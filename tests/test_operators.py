@@ -212,3 +212,14 @@ def test_checks_and_metrics(spark, messy):
 def test_schema_helper_is_nullable():
     built = schema(a="bigint")
     assert isinstance(built, StructType) and built["a"].nullable
+
+
+def test_checks_scan_the_table_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, 5), (1, -5), (None, -1), (None, 2)], "k int, v int").write.parquet(path)
+    found = profile.dq_checks(spark.read.parquet(path), "k", {"negative": F.col("v") < 0}, {})
+    assert {tuple(r) for r in found.collect()} == {("negative", 2), ("repeated_key", 1)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+    none = profile.dq_checks(spark.read.parquet(path).limit(0), "k", {"negative": F.col("v") < 0}, {})
+    assert {tuple(r) for r in none.collect()} == {("negative", 0), ("repeated_key", 0)}

@@ -402,3 +402,52 @@ def test_released_results_may_be_gone_already(spark):
 def test_unknown_rows_of_orders_do_not_reach_stage(spark, extracts):
     raw = csv.scan_raw(spark, str(extracts / "orders.csv"))
     assert clean.clean_orders(raw).count() == 4
+
+
+def month_files(spark, name):
+    version = tables.current_version(spark, name)
+    location = spark.sql(f"DESCRIBE TABLE EXTENDED {version}").filter("col_name = 'Location'").first().data_type
+    root = Path(location.removeprefix("file:"))
+    return {p.parent.name: (p.name, p.stat().st_mtime_ns) for p in root.rglob("*.parquet")}
+
+
+def test_a_load_rewrites_only_the_months_it_changes(spark, extracts, tmp_path):
+    names = layers("months")
+    landing, fact = str(tmp_path / "landing"), names.model("fact_venta")
+    header = ORDER_LINES[0]
+    orders = [f"{k},1,{10 + k % 2},1,5.0,10.0,2024-{k:02d}-05,,pending,cash,," for k in range(1, 8)]
+    write(extracts, "orders", [header, *orders])
+    refresh.refresh(spark, str(extracts), landing, names)
+    first = month_files(spark, fact)
+    assert len(first) == 7
+
+    def whole():  # the fact as a full rebuild would have it
+        stage = {n: spark.table(names.stage_table(n)) for n in ("orders", "products")}
+        return body(refresh.conform(refresh.model.fact_sales(stage["orders"], stage["products"]), FACT_SALES),
+                    "analytics_updated_at")
+
+    # The same rows once more: nothing is written.
+    refresh.refresh(spark, str(extracts), landing, names)
+    assert month_files(spark, fact) == first
+    # One order changes, one moves to another month and empties its own, one loses its date, one is new.
+    orders[0] = "1,1,11,3,5.0,15.0,2024-01-05,,pending,cash,,"
+    orders[1] = "2,1,10,1,5.0,10.0,2024-03-09,,pending,cash,,"
+    orders[3] = "4,1,10,1,5.0,10.0,,,pending,cash,,"
+    write(extracts, "orders", [header, *orders, "9,1,10,1,5.0,10.0,2024-09-01,,pending,cash,,"])
+    refresh.refresh(spark, str(extracts), landing, names)
+    second = month_files(spark, fact)
+    same = {m for m in first if second.get(m) == first[m]}
+    assert same == {f"mes_fecha=2024-0{k}-01" for k in (5, 6, 7)}
+    assert second.keys() - first.keys() == {"mes_fecha=2024-09-01", "mes_fecha=__HIVE_DEFAULT_PARTITION__"}
+    assert first.keys() - second.keys() == {"mes_fecha=2024-02-01", "mes_fecha=2024-04-01"}
+    assert body(spark.table(fact).select(*FACT_SALES.names), "analytics_updated_at") == whole()
+    # A product's cost changes the months it was sold in; a load that failed before the fact is caught up.
+    write(extracts, "products", [*PRODUCT_LINES[:2], '11,"Libro ""Uno""",Books,9,4,,ProveedorB,FALSE'])
+    sources = {n: f"{extracts}/{f}" for n, f in refresh.FILES.items()}
+    refresh.ingest(spark, sources, landing, names)
+    refresh.build_stage(spark, names)
+    refresh.build_analytics(spark, names)
+    third = month_files(spark, fact)
+    assert {m for m in second if third[m] != second[m]} == {f"mes_fecha=2024-0{k}-01" for k in (1, 3, 5, 7)}
+    assert body(spark.table(fact).select(*FACT_SALES.names), "analytics_updated_at") == whole()
+    assert spark.table(names.model("vw_reporte_ventas")).count() == 8
