@@ -28,14 +28,15 @@ BLOCK = 5000
 class Lists:
     """`sample` bounds the vectors that centroids are fitted on, and so do the centroids:
     one for `per_list` sampled vectors. `copies` and `boundary` say to how many lists, and up to
-    which ratio of distances, a vector is replicated; `reach` and `ratio` how many lists a query
-    may read and up to which ratio; `beam` how many centroids a search keeps open."""
+    which ratio of distances, a vector is replicated, beside the nearest that always takes it. A
+    query reads its `least` nearest lists and all others up to `ratio` times as far as the nearest;
+    a search opens `beam` centroids and those within the ratio."""
 
     sample: int = 20_000
     per_list: int = 80
-    copies: int = 4
+    copies: int = 3
     boundary: float = 1.15
-    reach: int = 256
+    least: int = 16
     ratio: float = 1.15
     beam: int = 64
     neighbours: int = 24
@@ -74,62 +75,84 @@ class Graph:
 
 def graph(centroids: np.ndarray, neighbours: int, seed: int) -> Graph:
     n = len(centroids)
-    square = (centroids**2).sum(1)
+    middle = centroids - centroids.mean(0)  # so that far from 0 no digits are lost below
+    square = (middle**2).sum(1)
     near = np.empty((n, min(neighbours, n)), dtype=np.int64)
     for lo in range(0, n, 1024):
-        d = square[None] - 2 * centroids[lo : lo + 1024] @ centroids.T
+        d = square[None] - 2 * middle[lo : lo + 1024] @ middle.T
         near[lo : lo + 1024] = np.argsort(d, axis=1, kind="stable")[:, : near.shape[1]]
     rng = np.random.default_rng(seed)
     far = rng.integers(0, n, (n, min(8, n)))
     return Graph(centroids, np.hstack([near, far]), np.unique(rng.integers(0, n, 16)))
 
 
-def search(index: Graph, x: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each row its `beam` nearest centroids found and their squared distances, nearest first.
+def search(index: Graph, x: np.ndarray, beam: int, ratio: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
+    """For each row the centroids its walk met, nearest first, and their squared distances
+    (infinite behind the last one met).
 
-    All rows walk together: each opens its nearest unopened centroid among the best, until every
-    centroid that a row keeps is open.
+    All rows walk together: each opens its nearest unopened centroid, until `beam` are open and
+    the next one is more than `ratio` times as far as the nearest.
     """
-    n, beam = len(index.centroids), min(beam, len(index.centroids))
-    rows = np.arange(len(x))[:, None]
-    seen = np.zeros((len(x), n), dtype=bool)
-    opened = np.zeros((len(x), n), dtype=bool)
-
-    def distances(at: np.ndarray) -> np.ndarray:
-        c = index.centroids[at]
-        return ((c - x[:, None]) ** 2).sum(2)
-
-    best = np.tile(index.entries, (len(x), 1))
-    distance = distances(best)
-    seen[rows, best] = True
-    while True:
-        waiting = np.where(opened[rows, best], np.inf, distance)
-        pick = waiting.argmin(1)
-        going = np.isfinite(waiting[rows[:, 0], pick])
-        if not going.any():
-            break
-        centre = best[rows[:, 0], pick]
-        opened[rows[:, 0], centre] = True
-        new = index.links[centre]
-        d = np.where(seen[rows, new] | ~going[:, None], np.inf, distances(new))
-        seen[rows, new] |= going[:, None]
-        best, distance = np.hstack([best, new]), np.hstack([distance, d])
-        # A centroid may be linked twice; its second place is dropped.
-        order = np.lexsort((distance, best))
-        b = np.take_along_axis(best, order, 1)
-        twice = np.zeros_like(b, dtype=bool)
-        twice[:, 1:] = b[:, 1:] == b[:, :-1]
-        distance = np.where(twice, np.inf, np.take_along_axis(distance, order, 1))
-        order = np.argsort(distance, axis=1, kind="stable")[:, :beam]
-        best, distance = np.take_along_axis(b, order, 1), np.take_along_axis(distance, order, 1)
-    return best, distance
-
-
-def boundary_lists(best: np.ndarray, distance: np.ndarray, lists: Lists) -> np.ndarray:
+    rows = np.arange(len(x))
+    met = np.full((len(x), len(index.centroids)), np.inf)
+    waiting = met.copy()
+
+    def meet(at: np.ndarray, walkers: np.ndarray) -> None:
+        new = np.isinf(met[walkers[:, None], at])
+        who, where = np.broadcast_to(walkers[:, None], at.shape)[new], at[new]
+        met[who, where] = waiting[who, where] = ((index.centroids[where] - x[who]) ** 2).sum(1)
+
+    meet(np.broadcast_to(index.entries, (len(x), len(index.entries))), rows)
+    going, opened = rows, 0
+    while len(going):
+        pick = waiting[going].argmin(1)
+        next_one = waiting[going, pick]
+        limit = np.inf if opened < beam else met[going].min(1) * ratio**2
+        on = np.isfinite(next_one) & (next_one <= limit)
+        going, pick = going[on], pick[on]
+        waiting[going, pick] = np.inf
+        meet(index.links[pick], going)
+        opened += 1
+    order = np.argsort(met, axis=1, kind="stable")
+    return order, np.take_along_axis(met, order, 1)
+
+
+def boundary_lists(distance: np.ndarray, lists: Lists) -> np.ndarray:
     """Which of the nearest centroids take a vector: the nearest, and others up to `copies` that
     are almost as near, so a vector by a boundary stands in the lists on both sides."""
     near = distance <= distance[:, :1] * lists.boundary**2
-    return near & (np.arange(best.shape[1]) < lists.copies)
+    return near & (np.arange(distance.shape[1]) < lists.copies) & np.isfinite(distance)
+
+
+def lists_to_read(distance: np.ndarray, lists: Lists) -> np.ndarray:
+    near = distance <= distance[:, :1] * lists.ratio**2
+    return (near | (np.arange(distance.shape[1]) < lists.least)) & np.isfinite(distance)
+
+
+def closest(asked: np.ndarray, held: np.ndarray, least: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each asked vector places and distances of the `k` nearest held ones, ties by `least`.
+
+    A quick form over vectors moved to the middle of the held ones leaves out only what is farther
+    than the k-th by more than its rounding can amount to; the distances of the rest, as many as
+    they are, are taken from the original vectors.
+    """
+    middle = held.mean(0)
+    v = held - middle
+    square = (v**2).sum(1)
+    far = np.sqrt(square.max())
+    k = min(k, len(held))
+    for lo in range(0, len(asked), 500):
+        q = asked[lo : lo + 500] - middle
+        with np.errstate(over="ignore", invalid="ignore"):
+            quick = square[None] - 2 * q @ v.T
+            slack = 8 * (held.shape[1] + 8) * np.finfo(float).eps * (np.sqrt((q**2).sum(1)) + far) ** 2
+            bound = np.partition(quick, k - 1, axis=1)[:, k - 1] + 2 * slack
+        for one, row, limit in zip(asked[lo : lo + 500], quick, bound):
+            # Where squares are no longer finite, everything is compared.
+            near = np.flatnonzero(~(row > limit))
+            exact = np.sqrt(((held[near] - one) ** 2).sum(1))
+            order = np.lexsort((least[near], exact))[:k]
+            yield near[order], exact[order]
 
 
 def _distinct(usable: DataFrame, keep: int) -> DataFrame:
@@ -177,15 +200,15 @@ def nearest(
         fitted[row.width] = graph(balanced(x, lists.per_list, lists.seed), lists.neighbours, lists.seed)
     shared = spark.sparkContext.broadcast(fitted)
 
-    def assign(beam: int, chosen):
+    def assign(beam: int, ratio: float, chosen):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 for width, rows in batch.groupby("width"):
                     index = shared.value[width]
                     for lo in range(0, len(rows), 1000):
                         part = rows.iloc[lo : lo + 1000]
-                        best, distance = search(index, rows_of(part["vector"]), beam)
-                        take = chosen(best, distance)
+                        best, distance = search(index, rows_of(part["vector"]), beam, ratio)
+                        take = chosen(distance)
                         yield pd.DataFrame(
                             {
                                 "node": np.repeat(part["node"].to_numpy(), take.sum(1)),
@@ -196,63 +219,51 @@ def nearest(
 
         return run
 
-    def read(best: np.ndarray, distance: np.ndarray) -> np.ndarray:
-        near = distance <= distance[:, :1] * lists.ratio**2
-        return near & (np.arange(best.shape[1]) < lists.reach)
+    def blocks_of(lists_of: DataFrame, name: str) -> DataFrame:
+        # A row per centroid, so bounded by the sample.
+        n = F.ceil(F.count(F.lit(1)) / BLOCK).cast("int")
+        return F.broadcast(lists_of.groupBy("width", "list").agg(n.alias(name)))
 
     schema = "node long, width int, list int"
     columns = distinct.select("node", "width", "vector")
-    postings = columns.mapInPandas(
-        assign(4 * lists.copies, lambda best, distance: boundary_lists(best, distance, lists)), schema
-    )
-    postings = staged(postings, "postings")
-    sizes = postings.groupBy("width", "list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    sizes = F.broadcast(sizes)  # a row per centroid, so bounded by the sample
+    placing = assign(4 * lists.copies, 1.0, lambda distance: boundary_lists(distance, lists))
+    postings = staged(columns.mapInPandas(placing, schema), "postings")
     wanted = columns.join(asked.select("node").distinct(), "node", "left_semi")
-    reads = wanted.mapInPandas(assign(max(lists.beam, lists.reach), read), schema)
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    kept = postings.join(sizes, ["width", "list"]).select(
-        "width", "list", block.alias("block"), "node", F.lit(False).alias("asks")
-    )
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
-    reads = reads.join(sizes, ["width", "list"]).select(
-        "width", "list", every, "node", F.lit(True).alias("asks")
-    )
-    carried = kept.unionByName(reads).join(distinct.select("node", "vector", "ids"), "node")
+    reading = assign(max(lists.beam, lists.least), lists.ratio, lambda distance: lists_to_read(distance, lists))
+    reads = staged(wanted.mapInPandas(reading, schema), "reads")
+    # Lists and the queries of a list are both cut into blocks, and blocks meet in pairs.
+    have, ask = blocks_of(postings, "have_blocks"), blocks_of(reads, "ask_blocks")
+
+    def side(rows: DataFrame, own: str, other: str, asks: bool) -> DataFrame:
+        cut = F.pmod(F.xxhash64("node"), F.col(f"{own}_blocks")).cast("int").alias(f"{own}_block")
+        every = F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)).alias(f"{other}_block")
+        sized = rows.join(have, ["width", "list"]).join(ask, ["width", "list"])
+        sized = sized.select("width", "list", cut, every, "node")
+        return sized.select("width", "list", "have_block", "ask_block", "node", F.lit(asks).alias("asks"))
+
+    kept = side(postings, "have", "ask", False)
+    carried = kept.unionByName(side(reads, "ask", "have", True))
+    carried = carried.join(distinct.select("node", "vector", "ids"), "node")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         ask, have = group[group["asks"]], group[~group["asks"]]
-        out = []
+        out = {"asked": np.empty(0, np.int64), "node": np.empty(0, np.int64), "score": np.empty(0)}
         if len(ask) and len(have):
-            q, v = rows_of(ask["vector"]), rows_of(have["vector"])
-            square, least = (v**2).sum(1), np.array([ids[0] for ids in have["ids"]])
-            # A few more than asked for, so rounding in this quick form cannot lose one.
-            few = min(len(have), k + 11)
-            for lo in range(0, len(q), 500):
-                part = q[lo : lo + 500]
-                quick = square[None] - 2 * part @ v.T
-                near = np.argpartition(quick, few - 1, axis=1)[:, :few]
-                exact = np.sqrt(((v[near] - part[:, None]) ** 2).sum(2))
-                order = np.lexsort((least[near], exact))[:, : k + 1]
-                rows = np.arange(len(part))[:, None]
-                out.append(
-                    pd.DataFrame(
-                        {
-                            "asked": np.repeat(ask["node"].to_numpy()[lo : lo + 500], order.shape[1]),
-                            "node": have["node"].to_numpy()[near[rows, order]].ravel(),
-                            "score": exact[rows, order].ravel(),
-                        }
-                    )
-                )
-        empty = pd.DataFrame({"asked": [], "node": [], "score": []}).astype({"asked": "int64", "node": "int64"})
-        return pd.concat(out) if out else empty
-
-    found = carried.groupBy("width", "list", "block").applyInPandas(compare, "asked long, node long, score double")
+            least = np.array([ids[0] for ids in have["ids"]])
+            nodes = have["node"].to_numpy()
+            found = list(closest(rows_of(ask["vector"]), rows_of(have["vector"]), least, k + 1))
+            out["asked"] = np.repeat(ask["node"].to_numpy(), [len(at) for at, _ in found])
+            out["node"] = np.concatenate([nodes[at] for at, _ in found])
+            out["score"] = np.concatenate([distance for _, distance in found])
+        return pd.DataFrame(out)
+
+    meetings = carried.groupBy("width", "list", "have_block", "ask_block")
+    found = meetings.applyInPandas(compare, "asked long, node long, score double")
     found = found.groupBy("asked", "node").agg(F.min("score").alias("score"))
     # At most (k + 1) vectors of each list read, so a query's rows are bounded by the parameters.
-    closest = Window.partitionBy("asked").orderBy("score", "least")
+    nearest_first = Window.partitionBy("asked").orderBy("score", "least")
     found = found.join(distinct.select("node", "ids", F.col("ids")[0].alias("least")), "node")
-    found = found.withColumn("_rank", F.row_number().over(closest)).filter(F.col("_rank") <= k + 1)
+    found = found.withColumn("_rank", F.row_number().over(nearest_first)).filter(F.col("_rank") <= k + 1)
     found = found.select(F.col("asked").alias("node"), "score", F.explode("ids").alias("vec_id"))
     answered = asked.join(found, "node").filter(F.col("vec_id") != F.col("query_id"))
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")

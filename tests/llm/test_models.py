@@ -145,6 +145,57 @@ def test_nearest_vectors(vectors):
     assert [found[440][k][0] for k in range(1, 6)] == [0, 420, 421, 422, 423]
 
 
+def nearest_by_force(rows, query, k):
+    distances = sorted((float(np.sqrt(((w - rows[query]) ** 2).sum())), j) for j, w in rows.items() if j != query)
+    return distances[:k]
+
+
+def found_nearest(llm, rows, asks, **lists):
+    table = llm.createDataFrame([(i, v.tolist()) for i, v in rows.items()], "vec_id long, embedding array<double>")
+    found = {}
+    for r in neighbours.nearest(table, asks, lists=neighbours.Lists(**lists)).orderBy("query_id", "rank").collect():
+        found.setdefault(r.query_id, []).append((r.score, r.vec_id))
+    return found
+
+
+def test_ties_of_many_vectors_go_to_the_smaller_numbers(llm, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 37)  # lists and queries in several blocks
+    rows = {i: row for i, row in enumerate(np.eye(400))}
+    found = found_nearest(llm, rows, F.col("vec_id") % 50 == 0)
+    assert found.keys() == set(range(0, 400, 50))
+    for query, got in found.items():
+        assert [j for _, j in got] == [j for j in range(11) if j != query][:10]
+
+
+def test_vectors_far_from_zero_and_close_together(llm):
+    rng = np.random.default_rng(3)
+    rows = {i: 1e6 + rng.normal(size=16) * 1e-3 for i in range(1500)}
+    found = found_nearest(llm, rows, F.col("vec_id") % 50 == 0)
+    hit = [len(set(found[q]) & set(nearest_by_force(rows, q, 10))) for q in range(0, 1500, 50)]
+    assert sum(hit) >= 0.95 * 10 * len(hit)
+
+
+def test_groups_larger_than_a_list_are_read_across_lists(llm):
+    rng = np.random.default_rng(4)
+    middles = rng.normal(size=(3, 32))
+    rows = {i: middles[i % 3] + rng.normal(size=32) * 0.01 for i in range(1800)}
+    found = found_nearest(llm, rows, F.col("vec_id") % 60 == 0, per_list=40)
+    hit = [len({j for _, j in found[q]} & {j for _, j in nearest_by_force(rows, q, 10)}) for q in range(0, 1800, 60)]
+    assert sum(hit) >= 0.9 * 10 * len(hit)
+
+
+@pytest.mark.parametrize("scale", [1e-200, 1.0, 1e160, 1e200])
+def test_closest_is_exact_at_every_magnitude(scale):
+    rng = np.random.default_rng(5)
+    held = rng.integers(-2, 3, (300, 3)) * scale  # many ties
+    least = rng.permutation(300)
+    with np.errstate(over="ignore"):
+        for q, (at, distance) in zip(held[:20], neighbours.closest(held[:20], held, least, 12)):
+            exact = np.sqrt(((held - q) ** 2).sum(1))
+            order = np.lexsort((least, exact))[:12]
+            assert at.tolist() == order.tolist() and distance.tolist() == exact[order].tolist()
+
+
 def test_near_duplicate_vectors(vectors, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "BLOCK", 7)  # several blocks even here
     rows = vector_rows()
