@@ -94,29 +94,43 @@ def membership(keys: DataFrame, name: str, bits: int = 1 << 24) -> Callable[[Col
     return lambda key: held(*places(key))
 
 
+def spare(taken: Sequence[str], *names: str) -> list[str]:
+    """Column names like `names` that no column of `taken` has, in any case of letters."""
+    known, found = {c.lower() for c in taken}, []
+    for name in names:
+        while name.lower() in known:
+            name = f"_{name}"
+        found.append(name)
+    return found
+
+
 def gapless_rank(df: DataFrame, group: str, by: Sequence[Column], rank: str) -> DataFrame:
     """Number the rows of each group from 0 without gaps, though a group may hold all rows.
 
     Rows go to about sqrt(rows) buckets by a hash of `by`; rows are numbered within a bucket and
-    buckets are numbered by running sums of their counts, so no task sees a whole group. Rows
-    equal in every column of `by` are interchangeable and take neighbouring numbers.
+    buckets are numbered by running sums of their counts, so rows of a group are dealt to many
+    tasks. Rows equal in every column of `by` are interchangeable, share a bucket and take
+    neighbouring numbers.
     """
-    counted = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
-    buckets = counted.agg(F.greatest(F.lit(1), F.ceil(F.sqrt(F.coalesce(F.sum("n"), F.lit(0))))))
+    bucket, row, of_group, of_bucket, n, offset = spare(
+        [*df.columns, rank], "_bucket", "_row", "_group", "_of", "_n", "_offset"
+    )
+    counted = df.groupBy(group).agg(F.count(F.lit(1)).alias(n))
+    buckets = counted.agg(F.greatest(F.lit(1), F.ceil(F.sqrt(F.coalesce(F.sum(n), F.lit(0))))))
     n_buckets = int(buckets.first()[0])
-    bucketed = df.withColumn("_bucket", F.pmod(F.xxhash64(*by), F.lit(n_buckets)).cast("int"))
-    counts = bucketed.groupBy(group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    running = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    bucketed = df.withColumn(bucket, F.pmod(F.xxhash64(*by), F.lit(n_buckets)).cast("int"))
+    counts = bucketed.groupBy(group, bucket).agg(F.count(F.lit(1)).alias(n))
+    running = Window.partitionBy(group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
-        F.col(group).alias("_group"),
-        F.col("_bucket").alias("_of"),
-        F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_offset"),
+        F.col(group).alias(of_group),
+        F.col(bucket).alias(of_bucket),
+        F.coalesce(F.sum(n).over(running), F.lit(0)).alias(offset),
     )
-    within = Window.partitionBy(group, "_bucket").orderBy(*by)
-    numbered = bucketed.withColumn("_row", F.row_number().over(within).cast("long") - 1)
-    matched = F.col(group).eqNullSafe(F.col("_group")) & (F.col("_bucket") == F.col("_of"))
+    within = Window.partitionBy(group, bucket).orderBy(*by)
+    numbered = bucketed.withColumn(row, F.row_number().over(within).cast("long") - 1)
+    matched = F.col(group).eqNullSafe(F.col(of_group)) & (F.col(bucket) == F.col(of_bucket))
     return numbered.join(offsets, matched).select(
-        *df.columns, (F.col("_row") + F.col("_offset")).alias(rank)
+        *[F.col(f"`{c}`") for c in df.columns], (F.col(row) + F.col(offset)).alias(rank)
     )
 
 

@@ -47,9 +47,11 @@ def shard(
 
     Equal keys share a shard. Keys may be null or repeated; rows equal in all columns take
     neighbouring slots in either order. A shard that holds all rows is numbered in many tasks.
+    Columns of the input that are called as the three added ones are replaced by them.
     """
     grown = shard_of(F.col(key), [*weights, grown_by]) if grown_by else F.lit(None).cast("int")
-    columns = [F.col(f"`{c}`") for c in rows.columns]
+    added = ("shard", "slot", "grown_shard")
+    columns = [F.col(f"`{c}`") for c in rows.columns if c.lower() not in added]
     placed = rows.select(
         *columns, shard_of(F.col(key), weights).alias("shard"), grown.alias("grown_shard")
     )

@@ -328,6 +328,25 @@ def test_near_copies_are_dropped_by_row(llm):
     assert texts_of == {1: [base], 5: [unique], 3: [f"{third} same"], 9: ["", ""]}
 
 
+def test_near_copies_keep_columns_called_as_the_key(llm):
+    text = words(random.Random(9), 30)
+    docs = llm.createDataFrame([(1, text, 7), (2, text, 8), (3, None, 9)], "doc_id long, text string, _row int")
+    kept = corpus_pipeline.drop_near_copies(llm, docs, "")
+    assert kept.columns == docs.columns and sorted((r.doc_id, r._row) for r in kept.collect()) == [(1, 7), (3, 9)]
+
+
+def test_stages_on_no_documents(llm, judged, tmp_path):
+    _, labels, _ = judged
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    columns = "doc_id long, text string, lang string, source string, n_chars long"
+    none = llm.createDataFrame([], columns)
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(llm, none, str(tmp_path))
+        assert found.count() == 0
+        if name != "packing":
+            assert found.columns == none.columns
+
+
 @benchmark
 def test_pipeline_keeps_what_each_stage_decides(llm, tmp_path):
     docs = llm.read.parquet(f"{SF}/documents.parquet")
