@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.llm import ngram_join, packing, quality, suffixes, toxicity
-from sedimenta.llm.common import read, staged
+from sedimenta.llm.common import read, spare, staged
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,15 +32,17 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     without words are like no other and stay.
     """
     # The key is written, so that all that reads it, also again after a failure, reads the same one.
-    keyed = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
-    classes = ngram_join.join_classes(keyed.select(F.col("_row").alias("doc_id"), "text"))
+    (key,) = spare(docs.columns, "_row")
+    keyed = staged(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
+    classes = ngram_join.join_classes(keyed.select(F.col(key).alias("doc_id"), "text"))
     classes = classes.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("class"))
-    rows = keyed.select("_row", F.col("doc_id").cast("long").alias("doc_id"))
+    rows = keyed.select(F.col(key).alias("_row"), F.col("doc_id").cast("long").alias("doc_id"))
     rows = staged(rows.join(classes, "_row"), "classes")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row"))["_row"]
     groups = rows.groupBy("class").agg(F.count(F.lit(1)).alias("n"), first.alias("first"))
-    copies = rows.join(groups.filter("n > 1"), "class").filter("_row <> first").select("_row")
-    return keyed.join(copies, "_row", "left_anti").select(*docs.columns)
+    copies = rows.join(groups.filter("n > 1"), "class").filter("_row <> first")
+    kept = keyed.join(copies.select(F.col("_row").alias(key)), key, "left_anti")
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
