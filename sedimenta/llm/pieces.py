@@ -11,6 +11,7 @@ where every chunk's path enters and leaves; then each chunk is traced back by it
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -102,23 +103,26 @@ class Vocabulary:
             self.units.clear()
         return np.frombuffer(b"".join(map(self.units.__getitem__, units(marked))), dtype="<u4")
 
-    def transfer(self, marked: str, n: int) -> np.ndarray:
-        """Best scores from entry i to exit j of a chunk: `n` characters and what may follow."""
+    def transfer(self, marked: str, n: int, shared: bool = True) -> np.ndarray:
+        """Best scores from entry i to exit j of a chunk: `n` characters and what may follow.
+
+        No piece reaches across the start of a unit, so all paths meet there. What they have in
+        common between the first such place behind the entries and the last one is one number,
+        added to every score; without `shared` it is left out, as it decides between no paths.
+        """
         reach = self.reach
         best = np.full((n + reach, reach), NEVER)
         best[np.arange(reach), np.arange(reach)] = 0.0
-        starts = unit_starts(marked)
-        ends = dict(zip(starts, [*starts[1:], len(marked)]))
+        meet = meeting_places(marked, reach, n)
         at = 0
         while at < n:
+            if meet and at == meet[0] < meet[1]:
+                common = sum(self.trace(u)[0] for u in units(marked[at : meet[1]])) if shared else 0.0
+                best[meet[1]] = best[at] + common
+                at = meet[1]
+                continue
             row = best[at]
             if np.isfinite(row).any():
-                # A unit that lies whole in the chunk has one best way once it is entered.
-                end = ends.get(at)
-                if end is not None and end <= n and at >= reach:
-                    np.maximum(best[end], row + self.trace(marked[at:end])[0], out=best[end])
-                    at = end
-                    continue
                 for length in range(1, min(reach, len(marked) - at) + 1):
                     score = self.scores.get(marked[at : at + length])
                     if score is None and length == 1:
@@ -132,14 +136,19 @@ class Vocabulary:
         return self.letters[segment_ranges(self.starts[ids], self.lengths[ids])].tobytes()
 
 
-def unit_starts(marked: str) -> list[int]:
+def starts_unit(marked: str, at: int) -> bool:
     """Where no piece can reach across: a mark behind another character, and line breaks."""
-    starts = [0] if marked else []
-    for at in range(1, len(marked)):
-        here, before = marked[at], marked[at - 1]
-        if here == "\n" or before == "\n" or (here == SPACE and before != SPACE):
-            starts.append(at)
-    return starts
+    here, before = marked[at], marked[at - 1]
+    return here == "\n" or before == "\n" or (here == SPACE and before != SPACE)
+
+
+def meeting_places(marked: str, low: int, high: int) -> tuple[int, int] | None:
+    """The first and the last start of a unit from `low` to `high`."""
+    high = min(high, len(marked) - 1)
+    first = next((at for at in range(max(low, 1), high + 1) if starts_unit(marked, at)), None)
+    if first is None:
+        return None
+    return first, next(at for at in range(high, first - 1, -1) if starts_unit(marked, at))
 
 
 def units(marked: str) -> list[str]:
@@ -220,11 +229,10 @@ def path_through(matrices: list[np.ndarray], entry: int, leave: int) -> list[int
     return states[::-1]
 
 
-def _chunks(text: str, chunk: int, reach: int) -> Iterator[tuple[int, int, str, int]]:
-    """Number, start, characters with those that may follow, and how many are the chunk's own."""
+def _chunks(text: str, chunk: int, reach: int) -> Iterator[tuple[int, str, int]]:
+    """Number, characters with those that may follow, and how many are the chunk's own."""
     for number, start in enumerate(range(0, max(len(text), 1), chunk)):
-        own = min(chunk, len(text) - start)
-        yield number, start, text[start : start + own + reach], own
+        yield number, text[start : start + chunk + reach], min(chunk, len(text) - start)
 
 
 def encode(docs: DataFrame, model: str, chunk: int = 32_768) -> DataFrame:
@@ -239,6 +247,7 @@ def encode(docs: DataFrame, model: str, chunk: int = 32_768) -> DataFrame:
     # Equal rows have equal chunks and may share one path; others with an id are told apart.
     text = documents(docs).withColumn("row", F.xxhash64(F.coalesce(DOC_ID, F.lit(0)), TEXT))
     giant = F.length(TEXT) > chunk
+    reach = vocabulary(model).reach
 
     def frame(rows: list) -> pd.DataFrame:
         out = pd.DataFrame(rows, columns=[DOC_ID, "chunk", "start", "length", "n_ids", "ids"])
@@ -253,16 +262,24 @@ def encode(docs: DataFrame, model: str, chunk: int = 32_768) -> DataFrame:
                 rows.append((doc_id, 0, 0, len(own), len(ids), ids.tobytes()))
             yield frame(rows)
 
+    def parted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for doc_id, row, own in zip(batch[DOC_ID].astype("Int64"), batch["row"], batch[TEXT]):
+                # Some 200 chunks at a time, however long the text is.
+                found = _chunks(own, chunk, reach)
+                while some := list(islice(found, 200)):
+                    part = pd.DataFrame(some, columns=["chunk", "own", "n"]).assign(row=row, doc_id=doc_id)
+                    yield part.astype({DOC_ID: "Int64"})[[DOC_ID, "row", "chunk", "own", "n"]]
+
     def transfers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = vocabulary(model)
         for batch in batches:
-            for row in batch.itertuples():
-                for number, _, own, n in _chunks(row.text, chunk, words.reach):
-                    first = number == 0
-                    matrix = words.transfer(mark(own, first), n + first)
-                    yield pd.DataFrame(
-                        {"row": [row.row], "block": [number // BLOCK], "chunk": [number], "matrix": [matrix.tobytes()]}
-                    )
+            for r in batch.itertuples():
+                first = r.chunk == 0
+                matrix = words.transfer(mark(r.own, first), r.n + first, shared=False)
+                yield pd.DataFrame(
+                    {"row": [r.row], "block": [r.chunk // BLOCK], "chunk": [r.chunk], "matrix": [matrix.tobytes()]}
+                )
 
     def matrices(group: pd.DataFrame) -> list[np.ndarray]:
         found = [np.frombuffer(m) for m in group["matrix"]]
@@ -303,24 +320,17 @@ def encode(docs: DataFrame, model: str, chunk: int = 32_768) -> DataFrame:
     schema = "doc_id long, chunk int, start long, length long, n_ids long, ids binary"
     short = text.filter(~giant).select(DOC_ID, TEXT).mapInPandas(whole, schema)
     long = text.filter(giant)
-    matrix = long.mapInPandas(transfers, "row long, block int, chunk int, matrix binary")
+    chunks = long.select(DOC_ID, "row", TEXT).mapInPandas(parted, "doc_id long, row long, chunk int, own string, n int")
+    # Chunks of one text go to many tasks, for their matrices as well as for their paths.
+    chunks = staged(chunks.repartition("row", "chunk"), "chunks")
+    matrix = chunks.drop(DOC_ID).mapInPandas(transfers, "row long, block int, chunk int, matrix binary")
     matrix = staged(matrix, "transfers")
     key = "row long, block int, enters int, leaves int"
     blocks = matrix.groupBy("row", "block").applyInPandas(product, "row long, block int, matrix binary")
     ends = blocks.groupBy("row").applyInPandas(through_blocks, key)
     inside = matrix.join(ends, ["row", "block"]).groupBy("row", "block")
     states = inside.applyInPandas(through_chunks, "row long, chunk int, enters int, leaves int")
-
-    reach = vocabulary(model).reach
-    numbers = F.sequence(F.lit(0), F.floor((F.length(TEXT) - 1) / chunk).cast("int"))
-    cut = long.select(DOC_ID, "row", TEXT, F.explode(numbers).alias("chunk")).select(
-        DOC_ID,
-        "row",
-        "chunk",
-        F.substring(TEXT, F.col("chunk") * chunk + 1, F.lit(chunk + reach)).alias("own"),
-        F.least(F.lit(chunk), F.length(TEXT) - F.col("chunk") * chunk).alias("n"),
-    )
-    return short.unionByName(cut.join(states, ["row", "chunk"]).mapInPandas(traced, schema))
+    return short.unionByName(chunks.join(states, ["row", "chunk"]).mapInPandas(traced, schema))
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:

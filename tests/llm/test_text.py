@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sedimenta.llm import licenses, ngram_join, packing, pieces, sharding, suffixes
-from tests.llm.conftest import make_docs, texts
+from tests.llm.conftest import make_docs, texts, words as made_words
 
 LAST = 2**63 - 1
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -293,6 +293,48 @@ def test_chunks_give_the_best_path():
             words.trace(marked[a + i : b + j])[0] for a, b, i, j in zip(cuts, cuts[1:], states, states[1:])
         )
         assert np.isclose(score, best)
+        # What all paths through a chunk share changes its scores by one number, and no path.
+        apart = [words.transfer(marked[a : b + words.reach], b - a, False) for a, b in zip(cuts, cuts[1:])]
+        for whole, part in zip(matrices, apart):
+            assert (np.isfinite(whole) == np.isfinite(part)).all()
+            assert np.allclose(np.ptp(whole[np.isfinite(whole)] - part[np.isfinite(part)]), 0)
+        assert pieces.path_through(apart, 0, 0) == states
+
+
+def test_chunks_of_one_text_are_solved_in_many_tasks(llm, monkeypatch):
+    rng = random.Random(6)
+    text = made_words(rng, 3000) + "x" * 700 + "\n\n" + made_words(rng, 2000)
+    written = {}
+
+    def seen(df, name):
+        written[name] = df.cache()
+        return written[name]
+
+    monkeypatch.setattr(pieces, "staged", seen)
+    found = pieces.encode(make_docs(llm, [(1, text)]), MODEL, chunk=300).orderBy("chunk").collect()
+    assert [r.chunk for r in found] == list(range(-(-len(text) // 300)))
+    assert len({r.at for r in written["chunks"].select(F.spark_partition_id().alias("at")).collect()}) > 1
+    vocabulary = pieces.Vocabulary(MODEL)
+    scores = {i: vocabulary.scores[piece] for piece, i in vocabulary.ids.items()}
+    ids = np.concatenate([np.frombuffer(r.ids, "<u4") for r in found])
+    told = sum(scores.get(int(i), vocabulary.byte_score) for i in ids)
+    assert np.isclose(told, vocabulary.trace(pieces.mark(text, True))[0])
+
+
+def test_shards_replace_columns_of_their_names(llm):
+    columns = "doc_id long, shard string, slot int, SLOT_ int, _bucket int, _row int, _n int, _of int, _offset int"
+    rows = [(i % 50, "mine", i, i, i, i, i, i, i) for i in range(200)]
+    given = llm.createDataFrame(rows, columns)
+    found = sharding.shard(given)
+    assert sorted(found.columns) == sorted(
+        ["doc_id", "SLOT_", "_bucket", "_row", "_n", "_of", "_offset", "shard", "grown_shard", "slot"]
+    )
+    plain = {r.doc_id: r.shard for r in sharding.shard(llm.range(50).withColumnRenamed("id", "doc_id")).collect()}
+    slots = {}
+    for r in found.collect():
+        assert r._bucket == r._row == r._n == r._of == r._offset == r["SLOT_"] and r.shard == plain[r.doc_id]
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and sum(map(len, slots.values())) == 200
 
 
 def test_empty_tables(empty):
