@@ -77,12 +77,12 @@ def top_products(fact: DataFrame, products: DataFrame, n: int = 5) -> DataFrame:
         .orderBy(F.desc_nulls_last("ingresos"), "product_id")
         .limit(n)
     )
-    # The n winners are the broadcast side; the dimension is only scanned.
+    # How large the winners are is for Spark to see, which knows the limit.
     names = products.select("product_id", "product_name").join(
-        F.broadcast(best.select("product_id")), "product_id", "left_semi"
+        best.select("product_id"), "product_id", "left_semi"
     )
     return (
-        best.join(F.broadcast(names), "product_id", "left")
+        best.join(names, "product_id", "left")
         .select("product_id", "product_name", "ingresos")
         .orderBy(F.desc_nulls_last("ingresos"), "product_id")
     )
