@@ -76,10 +76,31 @@ def fraction(value: Column) -> Column:
     return _rounded(value, 4)
 
 
+# Amounts from here on are no amounts: no decimal with cents holds them.
+_NO_AMOUNT = 1e36
+# Amounts from here on are summed in units of 10^18 and what is left of them.
+_LARGE, _UNIT = 1e20, 10**18
+
+
 def money_sum(amount: Column) -> Column:
-    """Sum of amounts, the same for any row order: exact decimals throughout. What no decimal
-    with cents can hold (1e36 and more) is no amount and counts as missing."""
-    return F.try_sum(amount.try_cast("decimal(38,2)")).cast("double")
+    """Sum of amounts, the same for any row order: exact decimals throughout, also where the total
+    is wider than a decimal. What `money_left_out` counts is no amount and counts as missing."""
+    known = F.when(F.abs(amount) < _NO_AMOUNT, amount)
+    unit = F.lit(_UNIT).cast("decimal(19,0)")
+    # Any whole number of units near the amount will do: what is left is told in decimals.
+    units = F.when(F.abs(known) >= _LARGE, (known / _UNIT).cast("bigint")).cast("decimal(18,0)")
+    exact = known.try_cast("decimal(38,2)")
+    rest = F.coalesce(exact - (units * unit).cast("decimal(38,2)"), exact).cast("decimal(24,2)")
+    units, rest = F.sum(units), F.sum(rest)
+    in_units = F.coalesce(units, F.lit(0)).try_cast("decimal(18,0)") * unit
+    total = F.try_add(in_units.try_cast("decimal(38,2)"), rest).cast("double")
+    # Beyond 38 digits, cents are far below what a double tells apart.
+    return F.coalesce(total, units.cast("double") * float(_UNIT) + rest.cast("double"))
+
+
+def money_left_out(amount: Column) -> Column:
+    """How many amounts `money_sum` leaves out: infinite, not a number, or 1e36 and more."""
+    return F.count_if(amount.isNotNull() & ~(F.abs(amount) < _NO_AMOUNT))
 
 
 def margin(price: Column, cost: Column) -> Column:

@@ -43,13 +43,27 @@ def profile_nulls(df: DataFrame) -> DataFrame:
 
 
 def profile_row_dups(df: DataFrame) -> DataFrame:
-    """Rows, distinct rows and surplus copies; copies are counted before the shuffle."""
-    counts = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    return counts.agg(
+    """Rows, distinct rows and surplus copies.
+
+    A row travels as a fingerprint of 128 bits, whatever its width, and copies are counted before
+    the shuffle. Whole rows are compared only among those whose fingerprint repeats, so two rows
+    that merely share one stay two.
+    """
+    values = [F.col(f"`{c}`") for c in df.columns]
+    first, second = (F.xxhash64(F.lit(seed), *values) for seed in (1, 2))
+    printed = df.select(first.alias("_first"), second.alias("_second"))
+    prints = printed.groupBy("_first", "_second").agg(F.count(F.lit(1)).alias("_copies"))
+    again = prints.filter("_copies > 1").select("_first", "_second")
+    whole = df.select(F.struct(*values).alias("_row"), first.alias("_first"), second.alias("_second"))
+    whole = whole.join(again, ["_first", "_second"], "left_semi").groupBy("_row").agg(F.lit(1).alias("_one"))
+    alone = prints.agg(
         F.coalesce(F.sum("_copies"), F.lit(0)).alias("total_rows"),
-        F.count(F.lit(1)).alias("distinct_rows"),
-        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"),
+        F.count_if(F.col("_copies") == 1).alias("_alone"),
     )
+    repeated = whole.agg(F.count(F.lit(1)).alias("_repeated"))
+    # One number, so a subquery and no join.
+    found = alone.select("total_rows", (F.col("_alone") + repeated.scalar()).alias("distinct_rows"))
+    return found.select("*", (F.col("total_rows") - F.col("distinct_rows")).alias("duplicate_rows"))
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:

@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.functions.numbers import to_integer
+from sedimenta.functions.numbers import money_left_out, to_integer
 from sedimenta.operators.profile import load_metrics
 from sedimenta.operators.rows import conform, stamp
 from sedimenta.plans import clean, model
@@ -88,6 +88,9 @@ def ingest(
     ]
 
 
+_TOTAL = "total_amount_usd"
+
+
 def merge_stage(held: DataFrame, spec: TableSpec, layers: Layers = Layers()) -> DataFrame:
     """Merge a held batch, already stamped and fitted to the declared schema, into its stage table."""
     ensure_keyed(held.sparkSession, layers.stage_table(spec.name), spec.stage)
@@ -96,10 +99,14 @@ def merge_stage(held: DataFrame, spec: TableSpec, layers: Layers = Layers()) ->
 
 def load_counts(raw: DataFrame, spec: TableSpec, kept: DataFrame) -> dict[str, int]:
     """Rows of this load: read, with a usable key, with distinct keys, removed as orphans, kept.
-    Only the key column of the raw table is read; kept rows are counted from the held batch."""
+    Only the key column of the raw table is read; kept rows are counted from the held batch. Where
+    these carry a total, `amounts_left_out` tells how many no sum of money can take."""
     found = load_metrics(raw.select(spec.key), to_integer(F.col(spec.key)), kept).collect()
     counts = {row.step: row.total_rows for row in found}
-    return counts | {"orphans": counts["distinct_keys"] - counts["kept"]}
+    counts["orphans"] = counts["distinct_keys"] - counts["kept"]
+    if _TOTAL in kept.columns:
+        counts["amounts_left_out"] = kept.agg(money_left_out(F.col(_TOTAL))).first()[0]
+    return counts
 
 
 def build_stage(spark: SparkSession, layers: Layers = Layers()) -> list[Step]:

@@ -2,6 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from hashlib import sha256
+from urllib.parse import quote, unquote
+from uuid import uuid4
+
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +37,10 @@ NULL_TOKENS = (
 )
 
 INGEST_COLUMN = "ingest_ts"
+# Bytes of an archived part, of what a task holds of it, and the most tasks of one copy.
+PART_BYTES, _BLOCK, MOST_TASKS = 256 << 20, 8 << 20, 10_000
+# Names of stores in Spark that the file systems of tasks know by another.
+_SCHEMES = {"s3a": "s3", "s3n": "s3"}
 _UNFIT = "_unfit_record"
 # Put behind a record to see where its fields end.
 _END = "<\u0001end\u0001>"
@@ -186,13 +198,65 @@ def scan_raw(spark: SparkSession, path: str) -> DataFrame:
     return null_tokens_to_null(read_text(spark, path))
 
 
-def archive(spark: SparkSession, path: str, landing: str, table: str, ingest_ts: str) -> str:
-    """Keep an input as it arrived, line by line, in a folder of its load; returns that folder.
+def _store(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path as Spark names it, and the path within."""
+    scheme, _, rest = uri.partition(":")
+    if scheme == "file" or not rest or "/" in scheme:
+        return fs.LocalFileSystem(), re.sub("^/+", "/", rest if scheme == "file" else uri)
+    return fs.FileSystem.from_uri(_SCHEMES.get(scheme, scheme) + ":" + quote(rest, safe="/:@"))
+
+
+def _copy_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Copy the byte ranges of the rows; a part has its name only once it is whole, and a task that
+    runs again writes the same bytes under the same name."""
+    for batch in batches:
+        sums = []
+        for row in batch.itertuples():
+            (source, path), (target, folder) = _store(row.path), _store(unquote(row.folder))
+            unfinished, left, known = f"{folder}/_unfinished-{uuid4().hex}", row.length, sha256()
+            with source.open_input_file(path) as file, target.open_output_stream(unfinished, compression=None) as out:
+                file.seek(row.start)
+                while left:
+                    block = file.read(min(left, _BLOCK))
+                    if not block:
+                        raise OSError(f"{row.path} became shorter while it was copied")
+                    known.update(block)
+                    out.write(block)
+                    left -= len(block)
+            if target.get_file_info(f"{folder}/{row.name}").type == fs.FileType.File:
+                target.delete_file(unfinished)  # a lost task had copied it
+            else:
+                target.move(unfinished, f"{folder}/{row.name}")
+            sums.append(known.hexdigest())
+        yield batch[["path", "start", "length", "name"]].assign(sha256=sums)
 
-    Lines are copied by tasks, without being parsed; a large file becomes several parts, whose
-    names give their order. Earlier loads stay, and a load time that exists already is refused.
+
+def archive(
+    spark: SparkSession, path: str, landing: str, table: str, ingest_ts: str, part_bytes: int = PART_BYTES
+) -> str:
+    """Keep an input byte for byte, compressed or not, in a folder of its load; returns that folder.
+
+    Files are cut into ranges of `part_bytes` that tasks copy unread; the parts' names
+    (`part-file-range-name`) give their order, so the parts of a file joined are the file (an
+    empty one has none). What is to be copied is written first, as `_listed`, what was copied with its SHA-256 as `_copied`.
+    Earlier loads stay, and a load time that exists already is refused. Executors must reach both
+    folders by the file systems that pyarrow knows (local or mounted, HDFS, S3, GCS).
     """
     folder = f"{landing}/{table}/{INGEST_COLUMN}={ingest_ts}"
-    lines = spark.read.option("lineSep", "\n").text(path).select("value")
-    lines.write.mode("errorifexists").option("lineSep", "\n").text(folder)
+    files = spark.read.format("binaryFile").load(path).select("path", "length")
+    # A row for each file, not for what it holds.
+    files = files.withColumn("file", F.row_number().over(Window.orderBy("path")) - 1)
+    start = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(part_bytes).cast("long")))
+    ranges = files.withColumn("start", start)
+    number = F.lpad((F.col("start") / part_bytes).cast("long").cast("string"), 7, "0")
+    name = F.concat_ws("-", F.lit("part"), F.lpad(F.col("file").cast("string"), 5, "0"), number, F.element_at(F.split("path", "/"), -1))
+    ranges = ranges.select("path", "start", F.least(F.lit(part_bytes), F.col("length") - F.col("start")).alias("length"), name.alias("name"))
+    ranges.write.mode("errorifexists").parquet(f"{folder}/_listed")
+    # Where the list lies tells tasks the folder in full, whatever short form the caller gave.
+    listed = spark.read.parquet(f"{folder}/_listed").withColumn("folder", F.regexp_extract("_metadata.file_path", "^(.*)/_listed/", 1))
+    n_tasks = max(1, min(listed.count(), MOST_TASKS))
+    copied = listed.repartition(n_tasks, "name").mapInPandas(
+        _copy_parts, "path string, start long, length long, name string, sha256 string"
+    )
+    copied.write.mode("errorifexists").parquet(f"{folder}/_copied")
     return folder

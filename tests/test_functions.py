@@ -190,3 +190,12 @@ def test_sum_of_money_is_exact_and_loses_nothing(spark):
     assert total([1e18, 0.25, -1e18]) == 0.25
     assert total([2e18] * 5 + [0.01, -1e19]) == 0.01
     assert total([None]) is None
+    assert total([9e35] * 1000 + [-9e35] * 999 + [0.25, -9e35]) == 0.25
+    assert total([9e35] * 1000) == 9e38  # beyond 38 digits
+    assert total([-3e20, 0.01, 3e20]) == 0.01
+    assert total([5.0, 1e36, float("nan"), float("-inf")]) == 5.0
+
+
+def test_amounts_left_out_are_counted(spark):
+    df = spark.createDataFrame([(v,) for v in [1.0, None, 9e35, 1e36, -1e300, float("nan"), float("inf")]], "v double")
+    assert df.agg(numbers.money_left_out(F.col("v"))).first()[0] == 4

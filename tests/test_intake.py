@@ -1,6 +1,9 @@
 """CSV with line breaks in quotes, read in many tasks; the archive byte for byte."""
 
+import gzip
+import hashlib
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,3 +80,46 @@ def test_extra_column_is_named_in_no_result(spark, tmp_path):
     rows = csv.read_text(spark, str(tmp_path / "t.csv"))
     assert rows.columns == ["file", "split", "at", "record", "row", "line"]
     assert rows.select(F.col("record")).collect() == [("4",)]
+
+
+def parts_of(folder, file):
+    return [p.read_bytes() for p in sorted(Path(folder).glob(f"part-{file:05d}-*"))]
+
+
+@pytest.mark.parametrize(
+    "body",
+    [b"", b"a,b\n1,2", b"\xef\xbb\xbfa,b\r\n1,\xff\xfe\x00\n\n\n", gzip.compress(b"a,b\n" * 500), bytes(range(256)) * 9],
+    ids=["empty", "no last break", "byte order mark and no text", "compressed", "every byte"],
+)
+def test_archive_is_the_input_byte_for_byte(spark, tmp_path, body):
+    source = tmp_path / "in put.csv.gz"
+    source.write_bytes(body)
+    folder = csv.archive(spark, str(source), str(tmp_path / "land ing"), "t", "1", part_bytes=50)
+    parts = parts_of(folder, 0)
+    assert len(parts) == -(-len(body) // 50)  # an empty file has none
+    assert all(len(p) == 50 for p in parts[:-1])
+    assert hashlib.sha256(b"".join(parts)).digest() == hashlib.sha256(body).digest()
+    told = spark.read.parquet(f"{folder}/_copied").orderBy("start").collect()
+    assert [r.sha256 for r in told] == [hashlib.sha256(p).hexdigest() for p in parts]
+    assert not list(Path(folder).glob("_unfinished*"))
+
+
+def test_archive_of_a_folder_is_copied_by_many_tasks(spark, tmp_path):
+    given = {f"{k}.csv": random.Random(k).randbytes(1000 * k) for k in range(1, 4)}
+    (tmp_path / "in").mkdir()
+    for name, body in given.items():
+        (tmp_path / "in" / name).write_bytes(body)
+    folder = csv.archive(spark, str(tmp_path / "in"), str(tmp_path / "landing"), "t", "1", part_bytes=300)
+    assert [b"".join(parts_of(folder, k)) for k in range(3)] == list(given.values())
+    assert spark.read.parquet(f"{folder}/_copied").inputFiles().__len__() > 5
+
+
+def test_a_range_that_runs_again_leaves_the_same_part(spark, tmp_path):
+    (tmp_path / "t.csv").write_bytes(b"0123456789")
+    folder = csv.archive(spark, str(tmp_path / "t.csv"), str(tmp_path), "t", "1", part_bytes=4)
+    again = spark.read.parquet(f"{folder}/_listed").toPandas().assign(folder=f"file:{folder}")
+    (told,) = csv._copy_parts([again])
+    assert len(told) == 3 and b"".join(parts_of(folder, 0)) == b"0123456789"
+    assert not list(Path(folder).glob("_unfinished*"))
+    with pytest.raises(OSError, match="became shorter"):
+        list(csv._copy_parts([again.assign(length=99, name="part-x")]))

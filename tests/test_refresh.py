@@ -288,7 +288,7 @@ def test_new_extract_updates_inserts_and_never_deletes(spark, extracts, tmp_path
     steps = refresh.refresh(spark, str(extracts), landing, names)
     counts = {s.table.split(".")[1]: s.counts for s in steps}["orders_stage"]
     # Of this load alone, though four orders are in the table.
-    assert counts == {"read": 2, "keyed": 2, "distinct_keys": 2, "kept": 2, "orphans": 0}
+    assert counts == {"read": 2, "keyed": 2, "distinct_keys": 2, "kept": 2, "orphans": 0, "amounts_left_out": 0}
     orders = {r.order_id: r for r in spark.table(names.stage_table("orders")).collect()}
     assert sorted(orders) == [100, 101, 103, 104]
     assert (orders[101].status, orders[101].quantity) == ("COMPLETED", 4)
