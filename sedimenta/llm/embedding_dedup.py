@@ -2,7 +2,8 @@
 
 Each table rotates vectors by rounds of random signs and fast Hadamard transforms and hashes them
 to the nearest axis, with sign; the next nearest axes are probed as well. Vectors that meet in a
-bucket are compared exactly. A pair that meets more than once is counted in the first bucket only,
+bucket are compared exactly. The more vectors there are, the more rotations a table joins into one
+hash, so that buckets do not grow with the table. A pair that meets more than once is counted in the first bucket only,
 which both can tell from their own hashes, so buckets return a row per vector instead of pairs.
 Equal vectors are one vector with a number of copies. A large bucket is compared in pairs of
 blocks, in many tasks.
@@ -16,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.llm.common import components, staged
@@ -28,19 +29,29 @@ LOT = 20_000
 
 @dataclass(frozen=True)
 class Hashing:
-    """`tables` rotations, each with the nearest `probes` axes; vectors meet where the nearest
-    axis of one is among those of the other."""
+    """`tables` hashes; a hash joins the nearest axes of one rotation or more, enough of them that
+    about `crowd` unlike vectors share a bucket. Vectors meet where the hash of one is that of the
+    other, or is so once one axis of the other is replaced by its next nearest of `probes`."""
 
     tables: int = 6
     probes: int = 2
     rounds: int = 3
+    crowd: int = 500
+    most_joined: int = 4
     seed: int = 9
 
 
-def rotations(width: int, hashing: Hashing) -> np.ndarray:
+def joined_rotations(vectors: Column, width: Column, hashing: Hashing) -> Column:
+    """How many rotations a hash joins, for so many vectors of that width."""
+    n_axes = F.pow(F.lit(2.0), F.ceil(F.log2(width)) + 1)
+    needed = F.ceil(F.ln(F.greatest(vectors, F.lit(1)) / F.lit(hashing.crowd)) / F.ln(n_axes))
+    return F.least(F.greatest(needed, F.lit(1)), F.lit(hashing.most_joined)).cast("int")
+
+
+def rotations(width: int, hashing: Hashing, joined: int = 1) -> np.ndarray:
     size = 1 << max(0, width - 1).bit_length()
     rng = np.random.default_rng(hashing.seed)
-    return rng.choice([-1.0, 1.0], (hashing.tables, hashing.rounds, size))
+    return rng.choice([-1.0, 1.0], (hashing.tables, joined, hashing.rounds, size))
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -55,20 +66,29 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def axes(x: np.ndarray, hashing: Hashing) -> np.ndarray:
-    """For each row, table and probe the axis (0 to 2 * size - 1), the nearest first."""
-    signs = rotations(x.shape[1], hashing)
-    size = signs.shape[2]
+def axes(x: np.ndarray, hashing: Hashing, joined: int = 1) -> np.ndarray:
+    """For each row and table its hash, then the hashes with one axis replaced.
+
+    An axis is 0 to 2 * size - 1. Axes of joined rotations are the digits of one number, shortened
+    to 31 bits: what falls together by that only meets."""
+    signs = rotations(x.shape[1], hashing, joined)
+    size = signs.shape[3]
     padded = np.zeros((len(x), size))
     padded[:, : x.shape[1]] = x / np.linalg.norm(x, axis=1, keepdims=True)
     probes = min(hashing.probes, size)
-    out = np.empty((len(x), hashing.tables, probes), dtype=np.int32)
+    out = np.empty((len(x), hashing.tables, 1 + joined * (probes - 1)), dtype=np.int32)
     for table in range(hashing.tables):
-        y = padded
-        for signs_of_round in signs[table]:
-            y = hadamard(y * signs_of_round) / np.sqrt(size)
-        near = np.argsort(-np.abs(y), axis=1, kind="stable")[:, :probes]
-        out[:, table] = 2 * near + (np.take_along_axis(y, near, 1) < 0)
+        hashed = np.zeros((len(x), 1 + joined * (probes - 1)), dtype=np.int64)
+        for k in range(joined):
+            y = padded
+            for signs_of_round in signs[table, k]:
+                y = hadamard(y * signs_of_round) / np.sqrt(size)
+            near = np.argsort(-np.abs(y), axis=1, kind="stable")[:, :probes]
+            found = 2 * near + (np.take_along_axis(y, near, 1) < 0)
+            digit = np.repeat(found[:, :1], hashed.shape[1], axis=1)
+            digit[:, 1 + k * (probes - 1) : 1 + (k + 1) * (probes - 1)] = found[:, 1:]
+            hashed = hashed * (2 * size) + digit
+        out[:, table] = hashed % (2**31 - 1)
     return out
 
 
@@ -171,11 +191,14 @@ def near_duplicates(
     whole = rows.filter("node is not null")
     distinct = whole.groupBy("part", "vector", "node").agg(F.count(F.lit(1)).alias("copies"))
     distinct = distinct.withColumn("width", F.size("vector"))
+    # A row for each label and width; counted closely enough, and alike whenever it is counted.
+    areas = whole.groupBy("part", F.size("vector").alias("width")).agg(F.approx_count_distinct("node").alias("n"))
+    areas = areas.select("part", "width", joined_rotations(F.col("n"), F.col("width"), hashing).alias("joined"))
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for _, rows in batch.groupby("width"):
-                found = axes(rows_of(rows["vector"]), hashing)
+            for (_, n_joined), rows in batch.groupby(["width", "joined"]):
+                found = axes(rows_of(rows["vector"]), hashing, n_joined)
                 flat = found.reshape(len(rows), -1)
                 yield rows[["node", "copies", "vector"]].assign(
                     axes=list(flat), probes=np.int32(found.shape[2]), area=rows["area"]
@@ -183,7 +206,8 @@ def near_duplicates(
 
     area = F.xxhash64("part", "width").alias("area")
     schema = "node long, copies long, vector array<double>, axes array<int>, probes int, area long"
-    indexed = distinct.select("node", "copies", "vector", "width", area).mapInPandas(hashed, schema)
+    sized = distinct.join(areas, ["part", "width"])
+    indexed = sized.select("node", "copies", "vector", "width", "joined", area).mapInPandas(hashed, schema)
     indexed = staged(indexed, "axes")
     at = F.posexplode("axes").alias("at", "axis")
     cells = indexed.select("node", "area", "probes", at).withColumn(

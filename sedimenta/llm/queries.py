@@ -163,6 +163,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op2_licenses": licenses.oracle_sql(),
+    "op3_suffix_dedup": suffixes.ORACLE_SQL,
     "op9_embedding_dedup": embedding_dedup.ORACLE_SQL,
     "op10_ngram_join": ngram_join.ORACLE_SQL,
     "op13_collocations": phrases.oracle_sql(),

@@ -362,3 +362,42 @@ def test_pipeline_keeps_what_each_stage_decides(llm, tmp_path):
             raise AssertionError("packing loses documents")
         ids, docs = kept, out
     assert corpus_pipeline.run(llm, SF).count() == docs.count()
+
+
+@pytest.mark.parametrize("width", [16, 64, 384])
+@pytest.mark.parametrize("n_joined", [1, 2, 3, 4])
+def test_pairs_at_the_least_cosine_meet(width, n_joined):
+    rng = np.random.default_rng(width)
+    x, y = rng.normal(size=(2, 1000, width))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (y * x).sum(1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    near = 0.98 * x + np.sqrt(1 - 0.98**2) * y
+    hashes = [embedding_dedup.axes(v, embedding_dedup.Hashing(), n_joined).astype(np.int64) for v in (x, near)]
+    met = embedding_dedup._meet(*hashes) < np.iinfo(np.int64).max
+    assert met.mean() >= 0.97
+
+
+def test_buckets_do_not_grow_with_the_table(llm):
+    """Comparisons for each vector stay within a bound while vectors become 16 times as many."""
+    hashing = embedding_dedup.Hashing(tables=2, crowd=10)
+    rng = np.random.default_rng(0)
+    sizes = llm.createDataFrame([(1000,), (16_000,)], "n long")
+    chosen = sizes.select("n", embedding_dedup.joined_rotations(F.col("n"), F.lit(16), hashing).alias("k"))
+    chosen = {r.n: r.k for r in chosen.collect()}
+    assert chosen[1000] < chosen[16_000]
+    for n, n_joined in chosen.items():
+        found = embedding_dedup.axes(rng.normal(size=(n, 16)), hashing, n_joined)
+        counts = [np.unique(found[:, t], return_counts=True)[1] for t in range(2)]
+        per_vector = sum((c.astype(float) ** 2).sum() for c in counts) / n
+        assert per_vector < 16 * 10 * 2 * found.shape[2] ** 2
+
+
+def test_joined_hashes_find_planted_groups(llm):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(40, 24))
+    rows = [(i, (centres[i % 40] + rng.normal(size=24) * 0.01).tolist(), i % 40 % 2) for i in range(200)]
+    table = llm.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    hashing = embedding_dedup.Hashing(crowd=1)
+    found = embedding_dedup.near_duplicates(table, hashing=hashing).collect()
+    assert {tuple(r) for r in found} == {(i, 4, i % 40, i < 40) for i in range(200)}

@@ -6,14 +6,16 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pandas as pd
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from sedimenta.llm import cutting, periods, phrases, queries
+from sedimenta.llm import cutting, periods, phrases, queries, suffixes
 from tests.llm.conftest import make_docs, texts
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -296,3 +298,20 @@ def test_texts_that_share_a_gram_but_no_window_keep_every_byte(llm):
     rows = [(k, around(30) + "the same twenty byte" + around(30)) for k in range(20_000)]
     frame = llm.createDataFrame(rows, "doc_id long, text string")
     assert suffixes.remove_repeats(frame).filter("n_removed > 0").count() == 0
+
+
+def test_cut_repeats_match_all_windows_in_sql(llm):
+    shared = "".join(chr(97 + k * k % 23) for k in range(90)) + "é" * 9
+    rows = [
+        (3, "x" + shared + "y"), (1, shared + "unlike " * 9), (None, shared[5:70]), (None, shared[5:70]), (7, None),
+        (3, "other " + shared[:60]), (8, ""), (9, "a" * 200), (10, "b" + "a" * 120 + shared), (10, "b" + "a" * 120 + shared),
+    ]
+    documents = pd.DataFrame(rows, columns=["doc_id", "text"]).astype({"doc_id": "Int64"})
+    connection = duckdb.connect()
+    connection.register("documents", documents)
+    expected = connection.execute(suffixes.ORACLE_SQL).fetchall()
+    found = suffixes.remove_repeats(llm.createDataFrame(rows, "doc_id long, text string")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("span_starts").cast("long"), F.sha2("kept", 256)
+    )
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
+    assert sum(r[2] for r in expected) > 400
