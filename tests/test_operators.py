@@ -182,20 +182,6 @@ def test_profiles(spark, messy):
     assert [r.tier for r in rows.sample_values(messy, "tier", 2).collect()] == ["GOLD", "Gold"]
 
 
-def test_rows_that_share_a_fingerprint_stay_two(spark, messy, monkeypatch):
-    monkeypatch.setattr(profile.F, "xxhash64", lambda *c: F.lit(1).cast("long"))
-    assert profile.profile_row_dups(messy).first() == (6, 5, 1)
-
-
-def test_duplicate_rows_shuffle_fingerprints_only(spark, messy):
-    wide = messy.withColumn("long text", F.repeat("id", 1000))
-    assert profile.profile_row_dups(wide).first() == (6, 5, 1)
-    plan = profile.profile_row_dups(wide)._jdf.queryExecution().optimizedPlan().toString()
-    assert "Aggregate [_first" in plan and "LeftSemi" in plan
-    # Whole rows are grouped only behind the join that keeps those whose fingerprint repeats.
-    assert plan.index("Aggregate [_row") < plan.index("LeftSemi")
-
-
 def test_profiles_of_an_empty_table(spark, messy):
     empty = messy.limit(0)
     assert {r.value for r in profile.profile_nulls(empty).collect()} == {0, 3}
