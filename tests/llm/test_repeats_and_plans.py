@@ -215,6 +215,14 @@ def test_collocations(llm, monkeypatch, slack):
     assert sorted(map(tuple, found)) == expected
 
 
+def test_collocations_of_languages_whose_names_hold_a_nul(llm):
+    langs = ["en", "en\0", "en\0a", "\0", "\0a", None]
+    rows = [(lang, f"{first} {second} " * (4 + at)) for at, lang in enumerate(langs) for first, second in ("ab", "ba", "cd")]
+    docs = llm.createDataFrame(rows, "lang string, text string").coalesce(1)
+    found = phrases.collocations(docs, threshold=4, longest=3, top=9).collect()
+    assert sorted(map(tuple, found)) == collocations_by_force(rows, 4, 3, 9)
+
+
 def test_collocations_dealt_out_twice(llm, monkeypatch):
     rows, docs = lang_docs(llm)
     for name, value in (("PART_MASS", 500), ("FAN_BITS", 2), ("FLUSH", 300)):
