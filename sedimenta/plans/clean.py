@@ -38,12 +38,14 @@ from sedimenta.functions.text import (
 )
 from sedimenta.operators.joins import Parent, referential_filter
 from sedimenta.operators.rows import drop_null_keys, keep_first
+from sedimenta.session import compile_by_operator
 
 col = F.col
 
 
 def _parsed(raw: DataFrame, key: str, columns: dict) -> DataFrame:
     """The parsed columns of rows that have a usable key."""
+    compile_by_operator(raw.sparkSession)
     parsed = raw.select(*[column.alias(name) for name, column in columns.items()])
     return drop_null_keys(parsed, [key])
 

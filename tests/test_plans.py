@@ -348,3 +348,16 @@ def test_deployed_view_and_report_are_one_plan(spark, star):
     assert deployed.exceptAll(report).count() == 0 and report.exceptAll(deployed).count() == 0
     assert report.filter("product_name IS NULL").count() == 1
     assert report.filter("nombre_completo IS NULL").count() == 1
+
+
+def test_cleaning_compiles_by_operator_in_any_session(spark):
+    """Also in a session built without `configure`; a lower limit of the caller's stays."""
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    raw = spark.createDataFrame([], CUSTOMERS.raw)
+    try:
+        for before, after in (("65535", "8000"), ("4000", "4000")):
+            spark.conf.set(limit, before)
+            clean.clean_customers(raw)
+            assert spark.conf.get(limit) == after
+    finally:
+        spark.conf.unset(limit)
