@@ -113,8 +113,7 @@ def repair_quantity(spark, sf):
 
 
 def _lines(spark, sf) -> DataFrame:
-    lines = t.table(spark, sf, "lineitem")
-    orders = t.table(spark, sf, "orders")
+    lines, orders = t.lines_and_orders(t.table(spark, sf, "lineitem"), t.table(spark, sf, "orders"))
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey)
 
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
+from bindings import tables
 from bindings.queries import QUERIES
 from sedimenta.functions.text import UNKNOWN
 from sedimenta.plans import clean, model, questions
@@ -361,3 +362,19 @@ def test_cleaning_compiles_by_operator_in_any_session(spark):
             assert spark.conf.get(limit) == after
     finally:
         spark.conf.unset(limit)
+
+
+def test_lines_are_dealt_out_by_how_many_they_are(spark, tmp_path, monkeypatch):
+    """What a task joins does not grow with the table, and the rows stay the same."""
+    orders = spark.range(40).selectExpr("if(id = 7, null, id) AS o_orderkey", "id % 5 AS o_custkey")
+    lines = spark.range(200).selectExpr("if(id % 11 = 0, null, id % 45) AS l_orderkey", "id AS l_partkey")
+    orders.union(orders.limit(3)).write.parquet(f"{tmp_path}/orders.parquet")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    sql = "SELECT l_orderkey, l_partkey, o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
+    few = sorted(map(tuple, tables.derive(spark, str(tmp_path), sql).collect()))
+    monkeypatch.setattr(tables, "_MANY_LINES", 100)
+    monkeypatch.setattr(tables, "_LINES_A_TASK", 20)
+    many = tables.derive(spark, str(tmp_path), sql)
+    assert sorted(map(tuple, many.collect())) == few and few
+    dealt = [tables.table(spark, str(tmp_path), name) for name in ("lineitem", "orders")]
+    assert [df.rdd.getNumPartitions() for df in tables.lines_and_orders(*dealt)] == [10, 10]
