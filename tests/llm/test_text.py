@@ -153,6 +153,17 @@ def test_words_are_tokenized_as_whole_texts(word):
     assert ids.tolist() == whole[0].ids + whole[1].ids and counts.tolist()[2] == 0
 
 
+def test_words_that_differ_in_case_or_end_are_merged_once():
+    words = packing.WordIds(TOKENIZER)
+    merged, merge = [], words.merge
+    words.merge = lambda piece: merged.append(piece) or merge(piece)
+    texts = ["Gravel gravel GRAVEL gravel, Gravel. gravel's gravel7 é É é,"]
+    ids, _ = words.encode(texts)
+    assert ids.tolist() == words.tokenizer.encode(texts[0], add_special_tokens=False).ids
+    assert words["GRAVEL"] == words["gravel"] and words["É"] == words["é"]
+    assert len(merged) == len(set(merged)) == 6
+
+
 def test_plan_fills_sequences():
     rng = np.random.default_rng(3)
     for _ in range(30):
