@@ -15,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from sedimenta.llm import cutting, periods, phrases, queries, suffixes
+from sedimenta.llm import common, cutting, digits, hashing, periods, phrases, queries, suffixes
 from tests.llm.conftest import make_docs, texts
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -323,3 +323,44 @@ def test_cut_repeats_match_all_windows_in_sql(llm):
     )
     assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
     assert sum(r[2] for r in expected) > 400
+
+
+def test_what_is_hashed_at_once_stays_below_what_workers_map_anew():
+    # A worker gives larger arrays back at once, so each new one costs its pages again.
+    assert hashing.HASHED_BYTES * 8 < int(common._WORKER_MEMORY["MALLOC_MMAP_THRESHOLD_"])
+
+
+@pytest.mark.parametrize("buckets", [7, 300, 70_000])
+def test_blobs_come_by_bucket_key_and_owner(buckets):
+    rng = np.random.default_rng(buckets)
+    key, owner = rng.integers(0, 900, 4000).astype(np.uint64), rng.integers(0, 5, 4000)
+    assert digits.ordered(key, owner).tolist() == np.lexsort((owner, key)).tolist()
+    assert digits.ordered(key[:0], owner[:0]).tolist() == []
+    codes = np.arange(5, dtype=np.uint64)
+    place = np.arange(4000, dtype=np.uint64)
+    sent = digits.blobs(buckets, key, owner, codes, codes, [place], place)
+    order = np.lexsort((owner, key // np.uint64(buckets), key % np.uint64(buckets)))
+    assert np.concatenate([common.unpack(b) for b in sent["kind"]]).tolist() == order.tolist()
+    assert sent["bucket"].is_monotonic_increasing and sent["n"].sum() == 4000
+
+
+def test_context_spans_the_windows_that_a_gram_leads():
+    rng = random.Random(8)
+    periodic = [b"ab" * 70, b"z" * 51, b"z" * 50, bytes(range(100, 117)) * 9]
+    made = [bytes(rng.choices(b"abc", k=rng.randint(0, 200))) for _ in range(60)]
+    texts = [b"", *periodic, b"short", *made, *periodic, *made[:5]]
+    w = suffixes.Windows(texts)
+    at = w.leading()
+    text = np.searchsorted(w.ends, at, side="right")
+    got = w.context(at, text)
+    wanted, n = [], 0
+    for p in at.tolist():
+        led = [v for v in range(max(0, p - suffixes.LED + 1), min(p + 1, w.count)) if w.least[v] == w.gram[p]]
+        n += len(led)
+        begin, end = np.array(led[:1]), np.array(led[-1:])
+        value = hashing.powers().stretch(w.sums, begin, end + suffixes.WINDOW)
+        offset = ((p - begin) * 64 + p - end).astype(np.uint64)
+        wanted += common.mix(value ^ common.mix(offset, 3), 4).tolist()
+    assert got.tolist() == wanted and n >= w.whole.sum() > 0
+    least = [w.gram[v : v + suffixes.LED].min() for v in np.flatnonzero(w.whole)]
+    assert w.least[w.whole].tolist() == [int(x) for x in least] and not w.least[~w.whole].any()
