@@ -30,6 +30,7 @@ from sedimenta.llm.common import (
     TEXT,
     components,
     documents,
+    lean,
     membership,
     mix,
     segment_ranges,
@@ -105,6 +106,7 @@ def _slot(token: np.ndarray) -> np.ndarray:
 def _survey(docs: DataFrame) -> DataFrame:
     """A row per document (doc_id, n, node), and the counters of each task (slot, count)."""
 
+    @lean
     def survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counters = np.zeros(SLOTS, dtype=np.int64)
         for batch in digits.text_batches(batches, BATCH_CHARS):
@@ -132,6 +134,7 @@ def _shared_counts(docs: DataFrame, n_tokens: int) -> DataFrame:
     below it."""
     n_buckets, bits = digits.buckets_for(n_tokens), digits.bits_for(n_tokens)
 
+    @lean
     def ship(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in digits.text_batches(batches, BATCH_CHARS):
             token, counts = _sets(batch)
@@ -186,6 +189,7 @@ def _shared_counts(docs: DataFrame, n_tokens: int) -> DataFrame:
 def _set_rows(docs: DataFrame, frequency) -> DataFrame:
     """(node, n, tokens) with the tokens in the global order."""
 
+    @lean
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in digits.text_batches(batches, BATCH_CHARS):
             token, counts = _sets(batch)
@@ -206,6 +210,7 @@ def _prefixes(sets: DataFrame) -> DataFrame:
     n = F.col("n")
     length = (n - F.ceil(n * SIMILAR / OUT_OF) + 1).cast("int")
 
+    @lean
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             lists = [np.frombuffer(t, np.int64)[:k] for t, k in zip(batch["tokens"], batch["length"])]

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import DOC_ID, TEXT, documents, staged
+from sedimenta.llm.common import DOC_ID, TEXT, documents, forget, lean, staged
 from sedimenta.llm.toxicity import labelled
 
 # Shares of bytes by class, then shares of words, then length and being first or last.
@@ -167,7 +167,9 @@ def learn(shape: np.ndarray, counts: np.ndarray, labels: np.ndarray, training: T
 def fit(docs: DataFrame, labels: DataFrame, in_training: Column, training: Training = Training()) -> Model:
     """Learn from rows of `labels.quality` for which `in_training` (on doc_id) holds."""
 
+    @lean
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         for batch in batches:
             if len(batch):
                 shape, _, counts = shapes(batch["text"].tolist())
@@ -210,7 +212,9 @@ def scorer(spark: SparkSession, model: Model, at_once: int = 500) -> Callable[[C
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
+    @lean
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        forget()
         for batch in batches:
             texts = batch.tolist()
             parts = [judge(texts[i : i + at_once], shared.value) for i in range(0, len(texts), at_once)]

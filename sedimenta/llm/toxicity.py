@@ -21,13 +21,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import DOC_ID, TEXT, documents, kept, staged
+from sedimenta.llm.common import DOC_ID, TEXT, documents, kept, lean, staged
 
 WORD = re.compile(r"[^\W_]+")
 BUCKETS = 1 << 20
 SHORTEST, LONGEST = 3, 6
 CACHE_ENTRIES = 300_000
-CACHED_SCORES = 900_000
+CACHED_SCORES = 200_000
 
 
 @dataclass(frozen=True)
@@ -59,10 +59,15 @@ class Model:
 def subwords(word: str) -> list[int]:
     """Buckets of the word and of its character n-grams, with marks at both ends."""
     marked = f"<{word}>"
+    plain = marked.isascii()
+    if plain:
+        marked = marked.encode()
     grams = [marked]
     for n in range(SHORTEST, LONGEST + 1):
         grams += [marked[i : i + n] for i in range(len(marked) - n + 1)]
-    return [zlib.crc32(g.encode("utf-8", "replace")) % BUCKETS for g in grams]
+    if not plain:
+        grams = [g.encode("utf-8", "replace") for g in grams]
+    return [zlib.crc32(g) % BUCKETS for g in grams]
 
 
 class Subwords(dict):
@@ -105,6 +110,7 @@ def fit(docs: DataFrame, labels: DataFrame, in_training: Column, training: Train
 
     sample = staged(labelled(docs, labels, "toxic", in_training, training.rows), "sample")
 
+    @lean
     def seen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, words = np.zeros((2, BUCKETS), dtype=np.int64), Subwords()
         for batch in batches:
@@ -125,6 +131,7 @@ def fit(docs: DataFrame, labels: DataFrame, in_training: Column, training: Train
     known[kept.toPandas()["bucket"].to_numpy().astype(np.int64)] = True
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
+    @lean
     def bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = Subwords()
         for batch in batches:
@@ -202,18 +209,26 @@ def learn(buckets: list, shares: list, labels: np.ndarray, training: Training) -
 
 
 class WordScores(dict):
-    """A word's part of the log odds, worked out once and kept within a bound."""
+    """A word's part of the log odds, worked out once and kept within a bound.
+
+    Once there are too many, those not met again until the next time are dropped, so that a worker
+    process holds few rare words and still knows the frequent ones.
+    """
 
     def __init__(self, model: Model):
         super().__init__()
-        self.model = model
+        self.model, self.before = model, {}
 
     def __missing__(self, word: str) -> float:
-        self[word] = score = float(self.model.subword[subwords(word)].mean())
+        score = self.before.get(word)
+        if score is None:
+            score = float(self.model.subword[subwords(word)].mean())
+        self[word] = score
         return score
 
     def score(self, text: str) -> float:
         if len(self) > CACHED_SCORES:
+            self.before = dict(self)
             self.clear()
         words = WORD.findall(text.lower())
         odds = self.model.bias + (sum(map(self.__getitem__, words)) / len(words) if words else 0.0)
@@ -232,6 +247,7 @@ def scorer(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
     shared, name = spark.sparkContext.broadcast(model), uuid4().hex
 
     @F.pandas_udf("double")
+    @lean
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         words = word_scores(name, shared.value)
         for texts in batches:

@@ -1,18 +1,21 @@
 """Learned scores, vector searches, registration and the pipeline, on small tables."""
 
 import ast
+import inspect
 import os
 import random
 import re
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 import corpus_pipeline
-from sedimenta.llm import embedding_dedup, neighbours, quality, toxicity
+from sedimenta.llm import common, embedding_dedup, neighbours, packing, quality, toxicity
 from sedimenta.llm.common import components, membership
 from sedimenta.llm.queries import ORACLE, QUERIES
 from tests.llm.conftest import make_docs, texts, words
@@ -62,6 +65,61 @@ def test_quality_uses_lines_and_their_neighbours(llm, judged):
     assert np.mean([found[i].predicted == int(i % 4 != 0) for i in held_out]) > 0.95
 
 
+def test_known_words_are_bounded_and_frequent_ones_worked_out_once(monkeypatch):
+    rng = np.random.default_rng(3)
+    model = toxicity.Model(rng.normal(size=toxicity.BUCKETS).astype(np.float32), 0.1)
+    rows = [words(random.Random(i), 40) + " comé" for i in range(60)]
+    path = public_tokenizers.path("word_bpe_49k.json")
+    wanted = [toxicity.WordScores(model).score(text) for text in rows]
+    ids = [packing.WordIds(path).encode([text])[0].tolist() for text in rows[:20]]
+    met = []
+    for module, name in ((toxicity, "subwords"), (packing, "_pieces_of")):
+        count = lambda word, inner=getattr(module, name): met.append(word) or inner(word)
+        monkeypatch.setattr(module, name, count)
+    monkeypatch.setattr(toxicity, "CACHED_SCORES", 100)
+    monkeypatch.setattr(packing, "CACHE_ENTRIES", 100)
+    known = toxicity.WordScores(model)
+    assert [known.score(text) for text in rows] == wanted
+    assert len(known) + len(known.before) <= 2 * (100 + 41) and met.count("comé") == 1
+    met.clear()
+    encoder = packing.WordIds(path)
+    assert [encoder.encode([text])[0].tolist() for text in rows[:20]] == ids
+    assert len(encoder) + len(encoder.before[0]) <= 2 * (100 + 82) and met.count("comé") == 1
+
+
+def test_subwords_of_any_text_are_those_of_its_characters():
+    for word in ("", "a", "plain", "naïve", "日本語", "x\ud800y", "\U0001f600"):
+        marked = f"<{word}>"
+        grams = [marked] + [marked[i : i + n] for n in range(3, 7) for i in range(len(marked) - n + 1)]
+        assert toxicity.subwords(word) == [toxicity.zlib.crc32(g.encode("utf-8", "replace")) % toxicity.BUCKETS for g in grams]
+
+
+def test_a_worker_drops_what_the_last_operator_kept(llm):
+    common.kept("scores of toxicity", dict)
+    score = quality.scorer(llm, quality.learn(np.empty((0, quality.N_SHAPE)), np.empty(0, int), np.empty(0, int), quality.Training()))
+    scored = inspect.getclosurevars(score).nonlocals["scored"].func
+    assert len(next(iter(scored(iter([pd.Series(["one\ntwo", ""])])))))
+    assert not common._KEPT
+
+
+@pytest.mark.skipif(not os.path.exists("/proc/self/statm"), reason="needs Linux")
+def test_lean_work_returns_memory_between_what_stays():
+    def taken():
+        return int(Path("/proc/self/statm").read_text().split()[1]) * os.sysconf("SC_PAGESIZE") / 1e6
+
+    stays = []
+
+    def work(batches):
+        for batch in batches:
+            many = [bytes(1000) for _ in range(200_000)]
+            stays.append(many[::1000])
+            yield batch
+
+    before = taken()
+    assert list(common.lean(work)(iter([1]))) == [1]
+    assert taken() - before < 100
+
+
 @pytest.mark.parametrize("operator", [toxicity, quality])
 def test_scores_of_odd_tables(llm, operator, docs, empty, judged):
     none = llm.createDataFrame([], "doc_id long, quality int, toxic int")
