@@ -323,15 +323,20 @@ def dim_product(spark, sf):
 
 
 @query
-def fact_sales(spark, sf):
+def fact_sales(spark, sf, grid=None):
     return model.fact_sales(
-        t.derive(spark, sf, t.STAGE_ORDERS), t.derive(spark, sf, t.STAGE_PRODUCTS)
+        t.derive(spark, sf, t.STAGE_ORDERS), t.derive(spark, sf, t.STAGE_PRODUCTS), grid
     )
 
 
 @query
 def report_view(spark, sf):
-    return model.report_view(fact_sales(spark, sf), dim_product(spark, sf), dim_customer(spark, sf))
+    products, customers = dim_product(spark, sf), dim_customer(spark, sf)
+    usual = model.report_view(fact_sales(spark, sf), products, customers)
+    grid = t.sales_grid(spark, sf, usual)
+    if grid is None:
+        return usual
+    return model.report_view(fact_sales(spark, sf, grid), products, customers, grid)
 
 
 @query

@@ -9,6 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sedimenta.operators.joins import Grid
+
+
 def _pick(pieces: list[str], key: str) -> str:
     """One of some equally long texts, by the remainder of the key."""
     width = len(pieces[0])
@@ -250,6 +253,10 @@ _TABLES = ("nation", "customer", "part", "orders", "lineitem")
 # Lines that a task joins to their orders, and from how many on they are dealt out that way.
 _LINES_A_TASK, _MANY_LINES = 1 << 19, 1 << 22
 
+# Copies of a parent in a grid. A task that writes to 14 squared cells need not hold its rows, which
+# it does from 200 partitions on (`spark.shuffle.sort.bypassMergeThreshold`).
+_SIDE = 14
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A benchmark table, as its files are split."""
@@ -269,6 +276,20 @@ def lines_and_orders(lines: DataFrame, orders: DataFrame) -> tuple[DataFrame, Da
     return lines.repartition(tasks, "l_orderkey"), orders.repartition(tasks, "o_orderkey")
 
 
+def sales_grid(spark: SparkSession, sf_dir: str, usual: DataFrame) -> Grid | None:
+    """The grid in which sales look up products and customers, where the `usual` plan would shuffle
+    them for both and the copies of the parents are fewer rows. The counts are read from the footers.
+
+    Its side depends on no table, so what is shuffled stays in proportion to them.
+    """
+    lines, *parents = [table(spark, sf_dir, n).count() for n in ("lineitem", "part", "customer")]
+    if lines <= _MANY_LINES or _SIDE * sum(parents) > lines:
+        return None
+    if "BroadcastHashJoin" in usual._jdf.queryExecution().executedPlan().toString():
+        return None
+    return Grid(("product_id", "customer_id"), _SIDE)
+
+
 def derive(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """A derivation over the benchmark tables it names, as a Spark plan."""
     words = sql.replace(")", " ").split()

@@ -108,6 +108,29 @@ def test_hot_and_missing_keys_are_split(spark, skewed, customers, no_broadcast,
     assert len(rows_of) == count
 
 
+def test_grid_looks_up_two_parents_with_one_shuffle(spark, skewed, no_broadcast):
+    """Also for keys that are hot, null, unknown, of another whole type, or repeated in a parent."""
+    child = skewed.withColumn("product_id", F.when(F.col("order_id") % 5 > 0, F.col("product_id")))
+    child = child.union(spark.sql("SELECT null, null, null UNION ALL SELECT null, 7, 3"))
+    customers = spark.range(4_000).selectExpr("id AS customer_id", "concat('C', id) AS customer")
+    customers = customers.union(spark.sql("SELECT null, 'none' UNION ALL SELECT 8, 'again'"))
+    products = spark.range(30).selectExpr("int(id) AS product_id", "concat('P', id) AS product")
+    products = products.union(products.filter("product_id = 5"))
+    plain = joins.lookup(joins.lookup(child, products, ["product_id"]), customers, ["customer_id"])
+
+    grid = joins.Grid(("product_id", "customer_id"), 3)
+    dealt = grid.deal(child, "order_id")
+    found = joins.lookup(dealt, grid.copies(products, "product_id"), ["product_id", joins.CELL])
+    found = joins.lookup(found, grid.copies(customers, "customer_id"), ["customer_id", joins.CELL])
+    assert "hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+    rows_of = found.select(*plain.columns)
+    assert rows_of.count() == plain.count() > child.count()
+    assert rows_of.exceptAll(plain).count() == 0 and plain.exceptAll(rows_of).count() == 0
+    # A third of the rows has no customer, a third the same one; a fifth has no product.
+    sizes = [r["count"] for r in dealt.groupBy(joins.CELL).count().collect()]
+    assert len(sizes) == 9 and max(sizes) < 2 * child.count() / 9
+
+
 def test_small_parents_are_broadcast(spark, skewed, customers):
     plan = joins.lookup(skewed, customers, ["customer_id"])
     assert "BroadcastHashJoin" in plan._jdf.queryExecution().executedPlan().toString()

@@ -378,3 +378,51 @@ def test_lines_are_dealt_out_by_how_many_they_are(spark, tmp_path, monkeypatch):
     assert sorted(map(tuple, many.collect())) == few and few
     dealt = [tables.table(spark, str(tmp_path), name) for name in ("lineitem", "orders")]
     assert [df.rdd.getNumPartitions() for df in tables.lines_and_orders(*dealt)] == [10, 10]
+
+
+def test_many_sales_are_shuffled_once_for_their_report(spark, tmp_path, monkeypatch, no_broadcast):
+    """Many lines look up products and customers where they lie, with the rows of the usual plan."""
+    made = {
+        "orders": spark.range(400).selectExpr(
+            "id AS o_orderkey", "if(id % 9 = 0, null, id % 50) AS o_custkey",
+            "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(id) AS o_orderdate",
+            "if(id % 2 = 0, 'F', 'O') AS o_orderstatus",
+        ),
+        "lineitem": spark.range(2000).selectExpr(
+            "id % 410 AS l_orderkey", "if(id % 7 = 0, null, id % 30) AS l_partkey",
+            "double(1 + id % 5) AS l_quantity", "double(id) AS l_extendedprice", "0.05D AS l_discount",
+            "timestamp_ntz'2024-06-01 00:00:00' AS l_shipdate", "if(id % 3 = 0, 'R', 'N') AS l_returnflag",
+            "int(1 + id % 7) AS l_linenumber", "id % 4 AS l_suppkey",
+        ),
+        "part": spark.range(25).selectExpr(
+            "id AS p_partkey", "concat('part ', id) AS p_name", "concat('TYPE ', id % 3) AS p_type",
+            "double(id) AS p_retailprice", "int(id % 20) AS p_size", "'B' AS p_brand",
+        ),
+        "customer": spark.range(40).selectExpr(
+            "id AS c_custkey", "concat('Name ', id) AS c_name", "int(id % 5) AS c_nationkey",
+            "'BUILDING' AS c_mktsegment",
+        ),
+    }
+    made["part"] = made["part"].union(made["part"].filter("p_partkey = 3"))
+    for name, rows in made.items():
+        rows.write.parquet(f"{tmp_path}/{name}.parquet")
+
+    def exchanges(report):
+        return report._jdf.queryExecution().executedPlan().toString().count(" Exchange ")
+
+    usual = QUERIES["report_view"](spark, str(tmp_path))
+    assert exchanges(usual) == 7
+    monkeypatch.setattr(tables, "_MANY_LINES", 100)
+    monkeypatch.setattr(tables, "_SIDE", 3)
+    dealt = QUERIES["report_view"](spark, str(tmp_path))
+    # Lines, orders, the sales, the product's cost and name, the customer.
+    assert exchanges(dealt) == 6
+    assert dealt.schema == usual.schema
+    assert dealt.count() == usual.count() > 1900
+    assert dealt.exceptAll(usual).count() == 0 and usual.exceptAll(dealt).count() == 0
+    # Parents of too many rows are not copied, nor those that are broadcast.
+    monkeypatch.setattr(tables, "_SIDE", 40)
+    assert exchanges(QUERIES["report_view"](spark, str(tmp_path))) == 7
+    monkeypatch.setattr(tables, "_SIDE", 3)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "_cell" not in QUERIES["report_view"](spark, str(tmp_path))._jdf.queryExecution().toString()
